@@ -74,9 +74,14 @@ def split_oversized(rows: DataFrame, key: str = "id", text: str = "document", li
     sentences need more is cut anew with half the limit, and only where even that is too little the overlap gets shorter. Null keys and texts are left
     out; an empty text is one piece of 0 words. The bodies in order are the text (but for blanks before its first word).
     """
-    named = rows.select(F.col(key).alias("id"), F.col(text).alias("text")).dropna().distinct()
-    sized = named.withColumn("n", word_count("text"))
-    first = sized.withColumn("bodies", F.when(F.col("n") > limit, _bodies(F.col("text"), limit - slack)).otherwise(F.array("text")))
+    named = rows.select(F.col(key).alias("id"), F.col(text).alias("text")).dropna()
+    short = named.filter(word_count(F.col("text")) <= limit).distinct()
+    whole = short.select("id", F.lit(0).alias("piece_no"), F.lit(1).alias("pieces"), word_count("text").alias("words"), F.lit(0).alias("overlap_words"), "text")
+    return whole.unionByName(_cut(named.filter(word_count(F.col("text")) > limit).distinct(), limit, slack))
+
+
+def _cut(long: DataFrame, limit: int, slack: int) -> DataFrame:
+    first = long.withColumn("bodies", _bodies(F.col("text"), limit - slack))
     first = first.withColumn("parts", _pieces(F.col("bodies"), limit))
     again = first.withColumn("anew", F.when(F.exists("parts", lambda p: p["short"]), _bodies(F.col("text"), limit // 2)))
     parts = again.withColumn("parts", F.when(F.col("anew").isNotNull(), _pieces(F.col("anew"), limit)).otherwise(F.col("parts")))
@@ -87,6 +92,7 @@ def split_oversized(rows: DataFrame, key: str = "id", text: str = "document", li
 
 def oversized_ids(rows: DataFrame, key: str = "id", text: str = "document", limit: int = 500) -> DataFrame:
     """``id`` of the records that split_oversized cuts and whose text has more than ``limit`` words."""
-    cut = split_oversized(rows, key, text, limit).filter("pieces > 1").select("id").distinct()
-    sizes = rows.select(F.col(key).alias("id"), F.regexp_count(F.col(text), F.lit(f"{NON}++")).alias("n")).filter(F.col("n") > limit)
-    return cut.join(sizes.select("id").distinct(), "id")
+    named = rows.select(F.col(key).alias("id"), F.col(text).alias("text")).dropna()
+    cut = _cut(named.filter(word_count(F.col("text")) > limit).distinct(), limit, 70).filter("pieces > 1 and piece_no = 0")
+    whole_words = F.regexp_count("text", F.lit(f"{NON}++")) > limit  # word_count cuts words of over 4,000 characters
+    return cut.select("id").join(named.filter(whole_words).select("id").distinct(), "id").distinct()
