@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodestrata.session import settle
+
 # Letters drawn exactly like a Latin one, by script.
 CYRILLIC = dict(zip("АВЕЅІЈКМНОРСТУХҮԌԚԜѴаеѕіјорсухүһԁԛԝѵӏ", "ABESIJKMHOPCTYXYGQWVaesijopcxyyhdqwvl".replace("xyy", "yxy")))
 GREEK = dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹͿονϲϳ", "ABEZHIKMNOPTYXCJovcj"))
@@ -78,9 +80,20 @@ def consistent(word: str) -> tuple[str, str]:
     return word, "none"
 
 
+@lru_cache(1 << 16)
+def stays(char: str) -> bool:
+    """Whether a character comes out as it is whatever stands around it: a plain composed Latin letter, or no letter at all."""
+    if char.isascii():
+        return True
+    kind = unicodedata.category(char)
+    if kind[0] == "M" or UNSEEN.match(char) or plain_character(char) != char or unicodedata.normalize("NFC", char) != char:
+        return False
+    return kind[0] != "L" or script_of(char) == "Latin" and char not in LATIN
+
+
 def one_form(text: str) -> tuple[str, int, int, int]:
     """The form of a text, and how many characters were unseen, how many words were mixed and whole confusables."""
-    if text.isascii():
+    if text.isascii() or all(map(stays, set(text))):
         return text, 0, 0, 0
     text = BREAK_HYPHEN.sub("-", text)
     seen = UNSEEN.sub("", text)
@@ -103,6 +116,10 @@ def _forms(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["text", "unseen", "mixed", "whole"])
 
 
+def _form_only(texts: pd.Series) -> pd.Series:
+    return pd.Series([one_form(t)[0] for t in texts], dtype=object)
+
+
 def with_form(rows: DataFrame, text: str = "document") -> DataFrame:
     """``rows`` with a struct ``form``: text, unseen, mixed, whole. A null text has a null form text."""
     shape = T.StructType([T.StructField("text", T.StringType()), *(T.StructField(n, T.IntegerType()) for n in ("unseen", "mixed", "whole"))])
@@ -110,18 +127,19 @@ def with_form(rows: DataFrame, text: str = "document") -> DataFrame:
 
 
 def normalized(rows: DataFrame, key: str = "id", text: str = "document") -> DataFrame:
-    """``id, text, unseen, mixed, whole``: every record with its text in one form.
+    """``id, text, unseen, mixed, whole``: every distinct record with its text in one form.
 
     Widths, ligatures, fonts, blanks and hyphens of any sort, composition and unseen characters are settled, words in letters of
     several scripts respelt in one; accents, case, digits, symbols such as single Greek letters without a Latin twin, and line breaks stay. Null texts stay null.
     """
-    return with_form(rows.select(F.col(key).alias("id"), F.col(text).alias("given")), "given").select("id", "form.*")
+    return with_form(rows.select(F.col(key).alias("id"), F.col(text).alias("given")).distinct(), "given").select("id", "form.*")
 
 
 def look_alike_ids(rows: DataFrame, key: str = "id", text: str = "document") -> DataFrame:
     """``id_a, id_b`` (id_a < id_b): keys of texts that have one form but are different strings."""
     named = rows.select(F.col(key).alias("id"), F.col(text).alias("given")).dropna()
-    formed = with_form(named, "given").select("id", F.sha2("given", 256).alias("own"), F.sha2("form.text", 256).alias("form")).distinct()
+    form = F.pandas_udf(_form_only, T.StringType())("given")
+    formed = settle(named.select("id", F.xxhash64("given").alias("own"), F.unhex(F.sha2(form, 256)).alias("form")).distinct())
     several = formed.groupBy("form").agg(F.min("own").alias("low"), F.max("own").alias("high")).filter("low != high").select("form")
     members = formed.join(several, "form")
     one, two = (members.select("form", F.col("own").alias(f"own_{s}"), F.col("id").alias(f"id_{s}")) for s in "ab")
