@@ -56,7 +56,7 @@ def p5_found(spark, folder):
 
 def p5_repaired(spark, folder):
     repaired = scan_noise.repair(table(spark, folder, "chunks"))
-    sums = [F.size(F.filter("noise", lambda x, k=k: x[k])).alias(k) for k in scan_noise.NOISE]
+    sums = [F.size(F.filter(F.col(f"noise.{k}"), lambda x: x)).alias(k) for k in scan_noise.NOISE]
     return repaired.select("id", "text", *sums)
 
 
@@ -114,7 +114,7 @@ QUERIES = {
 
 _TERM = r"lower(regexp_replace({}, '^[ \t\r\n\v\f]+|[ \t\r\n\v\f]+$', '', 'g'))"
 _TOKENS = f"""
-WITH rows_ AS (SELECT {_TERM.format("entity")} AS term, list_filter(chunks, x -> x IS NOT NULL) AS ids FROM nodes),
+WITH rows_ AS (SELECT {_TERM.format("entity")} AS term, list_filter(chunks, lambda x: x IS NOT NULL) AS ids FROM nodes),
 tokens AS (SELECT term, unnest(ids) AS id FROM rows_),
 total AS (SELECT count(DISTINCT id) AS total_records FROM tokens),
 counted AS (SELECT term, count(id) AS occurrences, count(DISTINCT id) AS records FROM
@@ -138,8 +138,8 @@ texts AS (SELECT document, row_number() OVER () AS t FROM (SELECT DISTINCT docum
 words AS (SELECT t, regexp_extract_all(lower(document), '[a-z0-9]+') AS w FROM texts),
 kinds AS (SELECT DISTINCT t, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS s FROM (SELECT t, w, unnest(range(1, len(w) - 1)) AS i FROM words WHERE len(w) >= 40)),
 sizes AS (SELECT t, count(*) AS n FROM kinds GROUP BY t),
-both AS (SELECT x.t AS x, y.t AS y, count(*) AS k FROM kinds x JOIN kinds y ON x.s = y.s AND x.t < y.t GROUP BY 1, 2),
-near AS (SELECT x, y FROM both JOIN sizes p ON x = p.t JOIN sizes q ON y = q.t WHERE k >= 0.6 * (p.n + q.n - k) UNION ALL SELECT t, t FROM sizes)
+shared AS (SELECT x.t AS x, y.t AS y, count(*) AS k FROM kinds x JOIN kinds y ON x.s = y.s AND x.t < y.t GROUP BY 1, 2),
+near AS (SELECT x, y FROM shared JOIN sizes p ON x = p.t JOIN sizes q ON y = q.t WHERE k >= 0.6 * (p.n + q.n - k) UNION ALL SELECT t, t FROM sizes)
 SELECT DISTINCT least(a.id, b.id) AS id_a, greatest(a.id, b.id) AS id_b FROM near JOIN texts u ON x = u.t JOIN texts v ON y = v.t
 JOIN docs a ON a.document = u.document JOIN docs b ON b.document = v.document WHERE a.id <> b.id""",
     "p7_found": "SELECT DISTINCT id FROM chunks WHERE len(regexp_extract_all(document, '[^ \\t\\r\\n]+')) > 500 AND id IS NOT NULL",
