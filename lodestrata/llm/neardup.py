@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from functools import lru_cache, partial
 
 import numpy as np
@@ -16,9 +15,11 @@ from lodestrata.session import settle
 #: x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1 generates the binary Golay code (23, 12, 7). Fixed value.
 GENERATOR = 0b110001110101
 BITS = 23
-WORD = re.compile(r"[a-z0-9]+")
-UPPER = {c: c + 32 for c in range(65, 91)}
-BANDS = 32
+#: ASCII letters and digits as they are in lower case, all else a blank.
+PLAIN = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or 48 <= c <= 57 else 32 for c in range(256))
+BANDS = 14
+#: Up to this many wanted texts are sent to all executors (under 10 MB of digests); more are joined by a shuffle.
+BROADCAST_ROWS = 200_000
 
 
 def _syndrome(words: np.ndarray) -> np.ndarray:
@@ -48,19 +49,23 @@ def decode(words: np.ndarray) -> np.ndarray:
     return (words ^ leader[syndrome]) >> 11
 
 
-def near_indices(word: int) -> np.ndarray:
-    """The codeword indices of a word and of its 23 neighbours: one or six. Words up to two bits apart share one."""
-    return np.unique(decode(np.append(word, word ^ (1 << np.arange(BITS)))))
+def near_indices(words: np.ndarray) -> np.ndarray:
+    """For each word a row of the codeword indices of it and its 23 neighbours, sorted: one value or six, repeated.
+
+    Words up to two bits apart share an index, as some word lies within one bit of both.
+    """
+    around = words[:, None] ^ np.append(0, 1 << np.arange(BITS))[None, :]
+    return np.sort(decode(around), axis=1)
 
 
-def words_of(text: str) -> list[str]:
-    """Maximal runs of ASCII letters and digits, lower-cased."""
-    return WORD.findall(text.translate(UPPER))
+def words_of(text: str) -> list[bytes]:
+    """Maximal runs of ASCII letters and digits of the lower-cased text."""
+    return (text if text.isascii() else text.lower()).encode("utf-8", "replace").translate(PLAIN).split()
 
 
-def shingles(text: str, width: int) -> set[str]:
+def shingles(text: str, width: int) -> set[tuple[bytes, ...]]:
     words = words_of(text)
-    return {" ".join(words[i : i + width]) for i in range(len(words) - width + 1)}
+    return set(zip(*(words[i:] for i in range(width))))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -70,50 +75,97 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+@lru_cache(4)
+def _multipliers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    seeds = _mix(np.arange(1, 2 * n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return seeds[:n] | np.uint64(1), seeds[n:]
+
+
 def fingerprint(hashes: np.ndarray, n: int) -> np.ndarray:
-    """``n`` minimum hashes, of 64 well-mixed bits each."""
-    seeds = _mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    """``n`` minimum hashes of a set of hashes, each brought to 16 well-mixed bits."""
+    times, plus = _multipliers(n)
     out = np.full(n, np.iinfo(np.uint64).max, np.uint64)
     for start in range(0, len(hashes), 4096):
-        out = np.minimum(out, _mix(hashes[start : start + 4096, None] ^ seeds[None, :]).min(axis=0))
-    return out
+        out = np.minimum(out, (hashes[start : start + 4096, None] * times + plus).min(axis=0))
+    return (_mix(out) >> np.uint64(48)).astype(np.uint16)
+
 
+def sketch_of(mins: np.ndarray) -> np.ndarray:
+    """Two columns of 64 bits: the top four bits of the first 32 minimum hashes, which the segments leave out."""
+    top = (mins[:, :32] >> 12).astype(np.uint64).reshape(len(mins), 2, 16)
+    return (top << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(axis=2, dtype=np.uint64).view(np.int64)
 
-def keys_of(mins: np.ndarray, bands: int) -> tuple[np.ndarray, list[int]]:
-    """The band keys and two words of sketch.
+
+def keys_of(mins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The band keys of the fingerprints in the rows of ``mins``, and for each key the row it is of.
 
     A band has two 23-bit segments, each filled from two minimum hashes (12 and 11 bits). The guard segment counts as
     it is; the fuzzy one is decoded to its nearby codeword indices. So two records share a key of the band if their
     guards agree and their fuzzy segments differ in at most two bits. By the pigeonhole principle some band does
     unless every band has an error in its guard or three in its fuzzy segment.
     """
-    low = _mix(mins[: bands * 4] + np.uint64(1)).astype(np.uint64)
-    segment = (((low[0::2] & np.uint64(0xFFF)) << np.uint64(11)) | (low[1::2] & np.uint64(0x7FF))).astype(np.int64)
-    guard, fuzzy = segment[0::2], segment[1::2]
-    out = []
-    for band in range(bands):
-        index = near_indices(int(fuzzy[band])).astype(np.uint64)
-        base = (np.uint64(band) << np.uint64(40)) | (np.uint64(guard[band]) << np.uint64(12))
-        out.append(base | index)
-    bits = (low[:128] >> np.uint64(40)) & np.uint64(1)
-    pack = [int((bits[i : i + 64] << np.arange(64, dtype=np.uint64)).sum(dtype=np.uint64)) for i in (0, 64)]
-    return np.concatenate(out).view(np.int64), [p - (1 << 64) if p >> 63 else p for p in pack]
+    rows, width = mins.shape
+    low = mins.astype(np.int64)
+    segment = (low[:, 0::2] & 0xFFF) << 11 | low[:, 1::2] & 0x7FF
+    guard, fuzzy = segment[:, 0::2], segment[:, 1::2]
+    index = near_indices(fuzzy.ravel())
+    base = (np.arange(width // 4)[None, :] << 40 | guard << 12).ravel()
+    first = np.ones(index.shape, bool)
+    first[:, 1:] = index[:, 1:] != index[:, :-1]
+    at, _ = np.nonzero(first)
+    return base[at] | index[first], at // (width // 4)
 
 
-def _sketch(batches, width: int, min_words: int, bands: int):
-    import xxhash
+class WordHashes(dict):
+    """Well-mixed 64-bit hashes of words, kept for words seen often."""
+
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+
+        value = xxhash.xxh3_64_intdigest(word)
+        if len(self) < 500_000:
+            self[word] = value
+        return value
+
 
+def shingle_hashes(words: list[bytes], width: int, known: dict) -> np.ndarray:
+    each = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    out = np.zeros(len(words) - width + 1, np.uint64)
+    for i in range(width):
+        out = _mix(out * np.uint64(0x9E3779B97F4A7C15) + each[i : i + len(out)])
+    return np.unique(out)
+
+
+def _sketch(batches, width: int, min_words: int, bands: int):
+    known = WordHashes()
     for batch in batches:
         rows = []
         for digest, text in zip(batch["digest"], batch["text"]):
             words = words_of(text)
             if len(words) < max(min_words, width):
                 continue
-            kinds = {" ".join(words[i : i + width]) for i in range(len(words) - width + 1)}
-            hashes = np.fromiter((xxhash.xxh3_64_intdigest(s) for s in kinds), np.uint64, len(kinds))
-            keys, (one, two) = keys_of(fingerprint(hashes, bands * 4), bands)
-            rows.append((digest, len(kinds), one, two, keys))
-        yield pd.DataFrame(rows, columns=["digest", "kinds", "one", "two", "keys"])
+            hashes = shingle_hashes(words, width, known)
+            rows.append((digest, len(hashes), fingerprint(hashes, bands * 4).tobytes()))
+        yield pd.DataFrame(rows, columns=["digest", "kinds", "mins"])
+
+
+def _keys(batches):
+    for batch in batches:
+        if len(batch):
+            mins = np.frombuffer(b"".join(batch["mins"]), np.uint16).reshape(len(batch), -1)
+            sketch = sketch_of(mins)
+            for start in range(0, len(batch), 1000):
+                keys, at = keys_of(mins[start : start + 1000])
+                at += start
+                yield pd.DataFrame({"key": keys, "doc": batch["doc"].to_numpy()[at], "kinds": batch["kinds"].to_numpy()[at], "one": sketch[at, 0], "two": sketch[at, 1]})
+
+
+def agreeing(a, b):
+    """How many of the sixteen groups of four bits of two columns are equal."""
+    x = a.bitwiseXOR(b)
+    x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+    x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+    return 16 - F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
 
 
 def jaccard(width: int):
@@ -131,37 +183,45 @@ def jaccard(width: int):
 
 
 def texts_of(rows: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
-    """Membership ``id, digest`` and one row a distinct text ``digest, text``; rows without key or text are left out."""
+    """Membership ``id, digest``, and ``digest, text`` of each row; rows without key or text are left out."""
     named = rows.select(F.col(key).alias("id"), F.col(text).alias("text")).dropna()
     named = named.withColumn("digest", F.unhex(F.sha2("text", 256)))
-    members = named.select("id", "digest").distinct()
-    return members, named.groupBy("digest").agg(F.first("text").alias("text"))
+    return named.select("id", "digest").distinct(), named.select("digest", "text")
+
+
+def only(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """The rows with a wanted key; ``wanted`` has each key once and is sent around only if it is known to be small."""
+    small = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return rows.join(F.broadcast(wanted) if small else wanted, key, "left_semi")
 
 
 def near_pairs(texts: DataFrame, width: int = 5, similarity: float = 0.8, min_words: int = 0, bands: int = BANDS) -> DataFrame:
     """``x, y, similarity`` (x < y) of the digests of different texts alike enough.
 
-    Exact copies have been put together before, so a copied text is one row here. Candidates share a band key; they are
-    thinned by the sizes of their shingle sets, which is exact, and by their 128-bit sketches, at more than four
-    deviations beyond what a pair at the threshold has; the rest are verified on their whole texts. No bucket and no
-    number of partners is capped.
+    Copies are put together by their digest before any key is made, so a copied text counts once. Candidates share a band key; they are
+    thinned by the sizes of their shingle sets, which is exact, and by how many of 32 minimum hashes agree in four bits, at 4
+    deviations below what a pair at the threshold has; the rest are verified on their whole texts. No bucket and no
+    number of partners is capped. Keys travel with a 64-bit name of the text; two texts of one name are both looked at.
     """
-    shape = "digest binary, kinds int, one bigint, two bigint, keys array<bigint>"
     work = partial(_sketch, width=width, min_words=min_words, bands=bands)
-    made = settle(texts.repartition(F.col("digest")).mapInPandas(work, shape))
-    keyed = made.select(F.explode("keys").alias("key"), "digest", "kinds", "one", "two")
-    left, right = (keyed.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("digest", "kinds", "one", "two"))) for s in "xy")
-    apart = F.bit_count(F.col("one_x").bitwiseXOR(F.col("one_y"))) + F.bit_count(F.col("two_x").bitwiseXOR(F.col("two_y")))
-    chance = (1 - similarity) / 2
-    limit = 128 * chance + 4.5 * (128 * chance * (1 - chance)) ** 0.5
+    made = texts.mapInPandas(work, "digest binary, kinds int, mins binary").groupBy("digest").agg(F.first("kinds").alias("kinds"), F.first("mins").alias("mins"))
+    made = settle(made.withColumn("doc", F.xxhash64("digest")))
+    keyed = made.select("doc", "kinds", "mins").mapInPandas(_keys, "key bigint, doc bigint, kinds int, one bigint, two bigint")
+    left, right = (keyed.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("doc", "kinds", "one", "two"))) for s in "pq")
+    chance = similarity + (1 - similarity) / 16
     met = left.join(right, "key").filter(
-        (F.col("digest_x") < F.col("digest_y"))
-        & (F.least("kinds_x", "kinds_y") >= F.lit(similarity) * F.greatest("kinds_x", "kinds_y"))
-        & (apart <= limit)
+        (F.col("doc_p") < F.col("doc_q"))
+        & (F.least("kinds_p", "kinds_q") >= F.lit(similarity) * F.greatest("kinds_p", "kinds_q"))
+        & (agreeing(F.col("one_p"), F.col("one_q")) + agreeing(F.col("two_p"), F.col("two_q")) >= 32 * chance - 4 * (32 * chance * (1 - chance)) ** 0.5)
     )
-    candidates = met.select(F.col("digest_x").alias("x"), F.col("digest_y").alias("y")).distinct()
-    with_x = candidates.join(texts.select(F.col("digest").alias("x"), F.col("text").alias("text_x")), "x")
-    whole = with_x.join(texts.select(F.col("digest").alias("y"), F.col("text").alias("text_y")), "y")
+    candidates = settle(met.select(F.col("doc_p").alias("p"), F.col("doc_q").alias("q")).distinct())
+    one, two = (made.select(F.col("doc").alias(d), F.col("digest").alias(f"digest_{d}")) for d in "pq")
+    named = candidates.join(one, "p").join(two, "q")
+    likely = settle(named.select(F.least("digest_p", "digest_q").alias("x"), F.greatest("digest_p", "digest_q").alias("y")))
+    wanted = likely.select(F.col("x").alias("digest")).union(likely.select(F.col("y").alias("digest"))).distinct()
+    needed = only(texts, wanted, "digest").groupBy("digest").agg(F.first("text").alias("text"))
+    with_x = likely.join(needed.select(F.col("digest").alias("x"), F.col("text").alias("text_x")), "x")
+    whole = with_x.join(needed.select(F.col("digest").alias("y"), F.col("text").alias("text_y")), "y")
     score = jaccard(width)("text_x", "text_y")
     return whole.select("x", "y", score.alias("similarity")).filter(F.col("similarity") >= similarity)
 
@@ -210,9 +270,9 @@ def near_duplicate_ids(rows: DataFrame, key: str = "id", text: str = "document",
     """``id_a, id_b`` (id_a < id_b): all keys of near texts and of equal texts of at least ``min_words`` words."""
     members, texts = texts_of(rows, key, text)
     members = settle(members)
-    long = F.size(F.split(F.trim(F.regexp_replace("text", "[^A-Za-z0-9]+", " ")), " ")) >= min_words
+    long = F.regexp_count("text", F.lit("[A-Za-z0-9]++")) >= min_words
     same = members.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest")
-    copied = texts.join(same, "digest").filter(long).select(F.col("digest").alias("x"), F.col("digest").alias("y"))
+    copied = only(texts, same, "digest").filter(long).select(F.col("digest").alias("x"), F.col("digest").alias("y")).distinct()
     pairs = near_pairs(texts, width, similarity, min_words).select("x", "y").union(copied)
     one, two = (members.select(F.col("digest").alias(d), F.col("id").alias(i)) for d, i in (("x", "id_x"), ("y", "id_y")))
     met = pairs.join(one, "x").join(two, "y").filter((F.col("x") != F.col("y")) | (F.col("id_x") < F.col("id_y")))
