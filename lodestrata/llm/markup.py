@@ -440,7 +440,9 @@ def lay_out(root: Node) -> tuple[str, dict]:
             for c in child.children:
                 emit(c, loose, depth)
 
-    for child in root.children:
+    for before, child in zip([None, *root.children], root.children):
+        if isinstance(child, str) and isinstance(before, Node) and before.name in ("li", "blockquote"):
+            child = child.removeprefix("\n")  # the item has ended its line
         emit(child, True, 0)
     text = re.sub(r"[ \t]+(?=\n)", "", "".join(out))
     return re.sub(r"\n{3,}", "\n\n", text).strip("\n"), seen
