@@ -15,9 +15,13 @@ def let(value: Column, then: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
+#: The characters of P.SPACE.
+WHITE = "".join(map(chr, (*range(9, 14), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+
+
 def strip(c: Column) -> Column:
     """Without outer white space of any kind."""
-    return F.regexp_replace(c, rf"^{P.SPACE}+|{P.SPACE}+\z", "")
+    return F.btrim(c, F.lit(WHITE))
 
 
 def blank(c: Column) -> Column:
@@ -30,7 +34,9 @@ def lines(c: Column) -> Column:
 
 
 def word_count(c: Column) -> Column:
-    return F.regexp_count(c, F.lit(rf"{P.NONSPACE}+"))
+    """Runs of characters between white space; without a pattern, which takes several times as long."""
+    plain = F.translate(c, WHITE, " " * len(WHITE))
+    return F.size(F.array_remove(F.split(plain, " ", -1), ""))
 
 
 def share(array: Column, test: Callable[[Column], Column]) -> Column:
