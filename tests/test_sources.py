@@ -16,8 +16,8 @@ def test_sniff(head, wanted):
 
 
 def test_csv_prose():
-    assert csv_prose("key,age,town\n1,31,Ulm\n2,40,Rome\n3,7,Bonn,extra\n") == "key: 1 | age: 31 | town: Ulm\n\nkey: 2 | age: 40 | town: Rome\n\nkey: 3 | age: 7 | town: Bonn"
-    assert csv_prose("Ann, x\n,\nBob,\n") == "col0: Ann | col1:  x\n\ncol0: Bob"
+    assert csv_prose("key,age,town\n1,31,Ulm\n2,40,Rome\n3,7,Bonn\n") == "key: 1 | age: 31 | town: Ulm\n\nkey: 2 | age: 40 | town: Rome\n\nkey: 3 | age: 7 | town: Bonn"
+    assert csv_prose("1,2\n,\n3,\n4,5\n6,7\n") == "col0: 1 | col1: 2\n\ncol0: 3\n\ncol0: 4 | col1: 5\n\ncol0: 6 | col1: 7"
     assert csv_prose("only a line of prose") == "col0: only a line of prose"
     assert csv_prose("") == ""
 
