@@ -92,7 +92,8 @@ def section_chunks(all_lines: Column, max_words: int = MAX_WORDS, overlap: int =
 
 def section_rows(rows: DataFrame, key: str, text: str, keep_boilerplate: bool = False) -> DataFrame:
     """``<key>, section_no, heading, lines``, numbered from 0; sections of boilerplate are left out unless wanted."""
-    each = rows.select(F.col(key), F.posexplode(sections(F.col(text))).alias("section_no", "s"))
+    # outer, as otherwise a filter on the array's size would be inferred, pushed down, and do the work twice
+    each = rows.select(F.col(key), F.posexplode_outer(sections(F.col(text))).alias("section_no", "s")).filter("section_no is not null")
     if not keep_boilerplate:
         each = each.filter(~is_boilerplate(F.col("s.heading")))
     return each.select(key, "section_no", F.col("s.heading").alias("heading"), F.col("s.lines").alias("lines"))
@@ -104,7 +105,7 @@ def smart_chunks(rows: DataFrame, key: str, text: str, max_words: int = MAX_WORD
     Every step is an expression over its row, so the plan has no shuffle. Null texts give no chunks.
     """
     named = section_rows(rows.select(key, text).filter(F.col(text).isNotNull()), key, text).withColumn("heading", heading_name(F.col("heading")))
-    cut = named.select(key, "section_no", "heading", F.posexplode(section_chunks(F.col("lines"), max_words, overlap)).alias("chunk_no", "chunk"))
+    cut = named.select(key, "section_no", "heading", F.posexplode_outer(section_chunks(F.col("lines"), max_words, overlap)).alias("chunk_no", "chunk")).filter("chunk_no is not null")
     body = F.when(F.col("heading") == "", F.col("chunk")).otherwise(F.concat_ws("\n", "heading", "chunk"))
     return cut.select(key, "section_no", "chunk_no", "heading", body.alias("body")).filter(is_meaningful(F.col("body")))
 
