@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lodestrata.llm import frequency, lookalike, markup, mix, neardup, pack, quality, scan_noise, split, together
+from lodestrata.operators.graph import count_pairs
 from lodestrata.session import table
 
 
@@ -27,7 +28,7 @@ def p2_pairs(spark, folder):
 
 def p2_recorded(spark, folder):
     """Every pair's records in common beside the count that was recorded for it."""
-    pairs = together.count_pairs(together.incidence(table(spark, folder, "nodes")))
+    pairs = count_pairs(together.incidence(table(spark, folder, "nodes")), "item", "record").withColumnRenamed("n", "n_ab")
     edges = table(spark, folder, "edges").select(frequency.normal_term(F.col("a")).alias("x"), frequency.normal_term(F.col("b")).alias("y"), "weight")
     recorded = edges.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.sum("weight").alias("recorded"))
     both = pairs.join(recorded, ["a", "b"], "full")

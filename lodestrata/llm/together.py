@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestrata.llm.frequency import normal_term
+from lodestrata.operators.graph import count_pairs
 from lodestrata.session import settle
 
 #: Degrees up to EXACT are classes of their own; above, classes widen by STEP, so there are at most a few thousand.
@@ -28,24 +29,6 @@ def degree_class(degree):
     return F.when(degree <= EXACT, degree).otherwise(above).cast("int")
 
 
-def count_pairs(links: DataFrame, block: int = 256) -> DataFrame:
-    """``a, b, n_ab`` with a < b: in how many records both items are.
-
-    A record of more than ``block`` items is cut into blocks that meet two by two, each meeting a key of its own: no
-    task gets more than the pairs of two blocks of one record at a time.
-    """
-    sizes = links.groupBy("record").agg(F.ceil(F.count("item") / F.lit(block)).alias("blocks")).filter("blocks > 1")
-    own = F.pmod(F.xxhash64("item"), F.coalesce(F.col("blocks"), F.lit(1))).cast("int")
-    placed = links.join(sizes, "record", "left").withColumn("own", own)
-    others = F.sequence(F.lit(0), (F.coalesce(F.col("blocks"), F.lit(1)) - 1).cast("int"))
-    spread = placed.select("record", "item", "own", F.explode(others).alias("other"))
-    spread = spread.select("record", "item", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    left = spread.filter(F.col("own") == F.col("i")).select("record", "i", "j", F.col("item").alias("x"))
-    right = spread.filter(F.col("own") == F.col("j")).select("record", "i", "j", F.col("item").alias("y"))
-    met = left.join(right, ["record", "i", "j"]).filter((F.col("i") < F.col("j")) | (F.col("x") < F.col("y")))
-    return met.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.count(F.lit(1)).alias("n_ab"))
-
-
 def fit_null(items: pd.DataFrame, records: pd.DataFrame, rounds: int = 2000, tolerance: float = 1e-9) -> dict:
     """The maximum-entropy bipartite null: P(item in record) = xy / (1 + xy), with every item's expected number of
     records and every record's expected number of items as observed. items, records: ``cls, degree, count``."""
@@ -130,7 +113,7 @@ def together(rows: DataFrame, item: str = "entity", records: str = "chunks", min
     kept = items.filter(F.col("n") >= min_together)
     if min_lift > 0:
         kept = kept.filter(F.col("n") * F.lit(min_lift) <= n_records)
-    pairs = count_pairs(links.join(kept.select("item"), "item"), block).filter(F.col("n_ab") >= min_together)
+    pairs = count_pairs(links.join(kept.select("item"), "item"), "item", "record", block).withColumnRenamed("n", "n_ab").filter(F.col("n_ab") >= min_together)
     one, two = (kept.select(F.col("item").alias(s), F.col("n").alias(f"n_{s}"), degree_class(F.col("n")).alias(f"class_{s}")) for s in "ab")
     pairs = pairs.join(one, "a").join(two, "b").withColumn("n_records", F.lit(n_records).cast("bigint"))
     pairs = pairs.withColumn("lift", F.col("n_ab") * F.lit(n_records) / (F.col("n_a") * F.col("n_b")))
