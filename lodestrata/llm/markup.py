@@ -30,6 +30,7 @@ IMPLIED = {
 # LaTeX commands that print as a sign or do nothing in text, and those whose argument is text.
 BARE = frozenset("item alpha beta gamma delta epsilon zeta eta theta lambda mu nu xi pi rho sigma tau phi chi psi omega leq geq neq cdot times partial nabla sum prod int infty approx hat bar vec frac sqrt ldots dots quad qquad noindent newline newpage clearpage maketitle tableofcontents centering hline par bigskip medskip smallskip appendix".split())
 TEXTUAL = frozenset("textbf textit emph texttt textsc textsf textrm underline text mbox footnote caption title author title* textsuperscript textsubscript url enquote".split())
+UNSEEN = frozenset("noindent newpage clearpage maketitle tableofcontents centering par bigskip medskip smallskip hline newline appendix".split())
 HEADINGS = {"part": 1, "chapter": 1, "section": 2, "subsection": 3, "subsubsection": 4, "paragraph": 5, "subparagraph": 6}
 REFERENCES = frozenset("cite citep citet ref eqref autoref pageref".split())
 SILENT = frozenset("label documentclass usepackage bibliography bibliographystyle input include includegraphics vspace hspace pagestyle thispagestyle setlength newcommand date index".split())
@@ -41,11 +42,13 @@ FOOTNOTE = re.compile(r"<sup>&</sup>lt;sup>\d{1,3}</sup>|(?<![\w&])lt;sup>\d{1,3
 FENCE = re.compile(r"^(`{3,}|~{3,})[^\n`]*\n(.*?)(?:^\1[`~]*[ \t]*$|\Z)", re.S | re.M)
 TICKS = re.compile(r"(?<![`\\])(`+)(?!`)([^\n]*?[^`\n])\1(?!`)")
 MATH = re.compile(
-    rf"\$\$(.+?)\$\$|\\\[(.+?)\\\]|\\\((.+?)\\\)|\\begin\{{((?:{MATH_ENVIRONMENTS})\*?)\}}(.*?)\\end\{{\4\}}|(?<![\\$\w])\$(?=[^\s$\d])((?:[^$\n\\]|\\.|\n(?!\n)){{1,400}}?)(?<=[^\s\\])\$(?![\d$\w])|(?<![\\$\w])\$(?=\d)((?=[^$\n]*[\\^_={{])[^$\n]{{1,400}}?)(?<=\S)\$(?![\d$\w])",
+    rf"\$\$(.{{1,5000}}?)\$\$|\\\[(.{{1,5000}}?)\\\]|\\\((.{{1,2000}}?)\\\)|\\begin\{{((?:{MATH_ENVIRONMENTS})\*?)\}}(.{{0,20000}}?)\\end\{{\4\}}|(?<![\\$\w])\$(?=[^\s$\d])((?:[^$\n\\]|\\.|\n(?!\n)){{1,400}}?)(?<=[^\s\\])\$(?![\d$\w])|(?<![\\$\w])\$(?=\d)((?=[^$\n]*[\\^_={{])[^$\n]{{1,400}}?)(?<=\S)\$(?![\d$\w])",
     re.S,
 )
 COMMAND = re.compile(r"\\([A-Za-z]+)(\*?)((?:\[[^\]\n]{0,200}\])*)(?=(\{)?)")
 OPEN, SHUT = "\ue000", "\ue001"
+#: Elements nested deeper than this, which only unclosed tags are, count as closed at once.
+DEEPEST = 150
 
 
 class Rewriting:
@@ -112,7 +115,7 @@ def _html(r: Rewriting) -> None:
 def _braced(text: str, at: int) -> int:
     """The end of the group that opens at ``at``, or -1."""
     depth = 0
-    for i in range(at, min(len(text), at + 20_000)):
+    for i in range(at, min(len(text), at + 5_000)):
         if text[i] in "{}" and (i == 0 or text[i - 1] != "\\"):
             depth += 1 if text[i] == "{" else -1
             if not depth:
@@ -122,43 +125,49 @@ def _braced(text: str, at: int) -> int:
 
 def _latex(r: Rewriting) -> None:
     out, at, text = [], 0, r.text
+    shuts: set[int] = set()  # closing braces of arguments that stay, which go
+
+    def upto(end: int) -> str:
+        inside = sorted(p for p in shuts if at <= p < end)
+        shuts.difference_update(inside)
+        parts, start = [], at
+        for p in inside:
+            parts.append(text[start:p])
+            start = p + 1
+        return "".join(parts) + text[start:end]
+
     while m := COMMAND.search(text, at):
         name, end = m[1], m.end()
         shut = _braced(text, end) if m[4] else -1
         content = text[end + 1 : shut] if shut >= 0 else None
-        known = name in BARE or content is not None or name in ("begin", "end")
-        if not known:
-            out.append(text[at:end])
+        if name not in BARE and content is None:
+            out.append(upto(end))
             at = end
             continue
-        before = text[at : m.start()]
         r.pieces["latex"] += 1
-        after = end if content is None else shut + 1
-        if name in REFERENCES and before.endswith("~"):
-            before = before[:-1] + " "
-        out.append(before)
-        if name in HEADINGS and content is not None:
+        before, at = upto(m.start()), m.start()
+        out.append(before[:-1] + " " if name in REFERENCES and before.endswith("~") else before)
+        at = end if content is None else shut + 1
+        if content is None:
+            if name == "item":
+                out.append(r.element("<li>"))
+                at += text[at : at + 1] == " "
+            elif name not in UNSEEN:
+                out.append(r.keep("text", m.group().strip()))
+        elif name in HEADINGS:
             out.append(r.wrap(f"h{HEADINGS[name]}", content))
-        elif name in ("begin", "end") and content is not None:
-            slash = "/" if name == "end" else ""
+        elif name in ("begin", "end"):
             kind = {"itemize": "ul", "enumerate": "ol", "description": "ul", "quote": "blockquote", "center": "div"}.get(content)
-            out.append(r.element(f"<{slash}{kind}>") if kind else "")
-        elif name == "item":
-            out.append(r.element("<li>"))
-        elif name in REFERENCES and content is not None:
+            out.append(r.element(f"<{'/' * (name == 'end')}{kind}>") if kind else "")
+        elif name in REFERENCES:
             out.append(f"[{content}]" if name.startswith("cite") else f"({content})")
-        elif name in SILENT:
-            pass
-        elif name == "href" and content is not None and text[after : after + 1] == "{" and (more := _braced(text, after)) >= 0:
-            text, after = text[: after] + text[after + 1 : more] + text[more + 1 :], after
-        elif content is not None:
-            text, after = text[: m.start()] + content + text[after:], m.start()
-        else:
-            out.append(r.keep("text", m.group().strip()) if name not in ("noindent", "newpage", "clearpage", "maketitle", "tableofcontents", "centering", "par", "bigskip", "medskip", "smallskip", "hline", "newline") else "")
-        at = after
-        while name in ("item",) and text[at : at + 1] == " ":
+        elif name == "href" and text[at : at + 1] == "{" and (more := _braced(text, at)) >= 0:
             at += 1
-    r.text = "".join(out) + text[at:]
+            shuts.add(more)
+        elif name not in SILENT:
+            at = end + 1
+            shuts.add(shut)
+    r.text = "".join(out) + upto(len(text))
     if r.pieces["latex"]:
         r.text = re.sub(r"\\([%&$#_{}])", r"\1", r.text)
         r.text = re.sub(r"\\\\(?:\[[^\]\n]*\])?", lambda m: r.element("<br>"), r.text)
@@ -305,7 +314,7 @@ def build(r: Rewriting) -> Node:
         hidden = name in HIDDEN or bool(re.search(r"\bhidden\b(?!\s*=\s*[\"']?false)", re.sub(r"\w+\s*=\s*(?:\"[^\"]*\"|'[^']*')", "", attributes))) or "display:none" in attributes.replace(" ", "") or "visibility:hidden" in attributes.replace(" ", "")
         node = Node(name, not hidden)
         open_[-1].children.append(node)
-        if name not in VOID and not m[4]:
+        if name not in VOID and not m[4] and len(open_) < DEEPEST:
             open_.append(node)
     return root
 

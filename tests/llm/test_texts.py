@@ -223,3 +223,12 @@ def test_exponents():
         x = mix.exponent_for_entropy(shares, wanted)
         assert mix.entropy(mix.tempered(shares, x)) == pytest.approx(wanted, abs=1e-6)
     assert mix.exponent_for_entropy(shares, 5.0) == 0
+
+
+@pytest.mark.parametrize("piece", ["<b>", "</p>", "<li>x", "<table><tr><td>", "\\textbf{a \\emph{b}} ", "\\frac{", "\\[", "$$", "`", "**a", "{{x", "[[a", "| a | b |\n|---|---|\n", "> q\n", "''", "&amp;", "<!-- "])
+def test_markup_of_long_texts_ends(piece):
+    import time
+
+    began = time.time()
+    markup.render(piece * 20_000)
+    assert time.time() - began < 20
