@@ -27,6 +27,7 @@ COMMON = frozenset(
 )
 MARKER = re.compile(r"\s*(?:https?://|[-*+•]\s|\[\d+\]|\d{1,3}[.)]\s|\(?[a-z0-9]{1,3}\)\s)")
 EDGE = 64
+ENDED = re.compile(r"[.!?][\"')»\]]*$")
 WORD_COUNTS = ("words", "letters", "digits", "symbols", "common", "alphabetic", "numeric", "word_chars")
 
 
@@ -58,12 +59,39 @@ def add(a: list, b: list) -> list:
     return [x + y for x, y in zip(a, b)]
 
 
+FIELD = 40
+MASK = (1 << FIELD) - 1
+
+
+class PackedCounts(dict):
+    """By word its WORD_COUNTS as fields of one integer, so that the counts of many words are one sum."""
+
+    def __missing__(self, word: str) -> int:
+        packed = sum(n << FIELD * k for k, n in enumerate(count_word(word_state(word)))) if word else 0
+        if len(self) < 300_000 and len(word) <= EDGE:
+            self[word] = packed
+        return packed
+
+
+PACKED = PackedCounts()
+BLANK = re.compile(r"[\t\r\f\v\u00a0]")
+
+
+def words_of_line(text: str) -> list[str]:
+    return (BLANK.sub(" ", text) if BLANK.search(text) else text).split(" ")
+
+
+def count_words(words: list[str]) -> list:
+    total = sum(map(PACKED.__getitem__, words))
+    return [total >> FIELD * k & MASK for k in range(8)]
+
+
 def line_state(text: str) -> dict:
     """A piece of a line: edges ``pre`` and ``post`` are words that may go on; ``mid`` is None while all is one word."""
-    parts = re.split(r"[ \t\r\f\v ]", text)
+    parts = words_of_line(text)
     state = {"chars": len(text), "marks": [text.count("|"), text.count("\t"), text.count(";")], "head": text[:24], "tail": text.rstrip()[-4:] if text.strip() else "", "dots": text.count("."), "pre": word_state(parts[0]) if parts[0] else None, "mid": None, "post": None}
     if len(parts) > 1:
-        state["mid"] = reduce(add, (count_word(word_state(p)) for p in parts[1:-1] if p), [0] * 8)
+        state["mid"] = count_words(parts[1:-1])
         state["post"] = word_state(parts[-1]) if parts[-1] else None
     return state
 
@@ -83,18 +111,27 @@ def join_lines(a: dict, b: dict) -> dict:
 LINE_COUNTS = ("lines", "blank_lines", "punctuated", "items", "rows", *WORD_COUNTS)
 
 
-def close_line(line: dict) -> tuple[list, list, bool]:
+def judge_line(words: list, chars: int, marks: list, dots: int, head: str, tail: str) -> tuple[list, list, bool]:
     """Counts of a whole line; its block state ``chars, words, common``; whether it stands alone rather than in a block."""
-    words = add(count_word(line["pre"]), count_word(line["post"]))
-    words = add(words, line["mid"] or [0] * 8)
-    n, pipes, tabs, semis = words[0], *line["marks"]
+    n, pipes, tabs, semis = words[0], *marks
     if not n:
-        return [1, 1, 0, 0, 0, *words], [line["chars"], 0, 0], False
-    item = bool(MARKER.match(line["head"]))
-    row = pipes >= 2 or tabs >= 1 or semis >= 2 or (line["dots"] >= 6 and line["dots"] > n) or words[6] > 0.5 * n
-    ended = bool(re.search(r"[.!?][\"')»\]]*$", line["tail"])) and not row
+        return [1, 1, 0, 0, 0, *words], [chars, 0, 0], False
+    item = bool(MARKER.match(head))
+    row = pipes >= 2 or tabs >= 1 or semis >= 2 or (dots >= 6 and dots > n) or words[6] > 0.5 * n
+    ended = not row and bool(ENDED.search(tail))
     alone = item or row or words[5] < 0.5 * n
-    return [1, 0, int(ended), int(item), int(row), *words], [line["chars"], n, words[4]], alone
+    return [1, 0, int(ended), int(item), int(row), *words], [chars, n, words[4]], alone
+
+
+def close_line(line: dict) -> tuple[list, list, bool]:
+    words = add(count_word(line["pre"]), count_word(line["post"]))
+    return judge_line(add(words, line["mid"] or [0] * 8), line["chars"], line["marks"], line["dots"], line["head"], line["tail"])
+
+
+def whole_line(text: str) -> tuple[list, list, bool]:
+    """close_line of a line that is known whole."""
+    marks = [text.count("|"), text.count("\t"), text.count(";")]
+    return judge_line(count_words(words_of_line(text)), len(text), marks, text.count("."), text[:24], text.rstrip()[-4:])
 
 
 def language_chars(block: list) -> int:
@@ -106,11 +143,10 @@ def language_chars(block: list) -> int:
 EMPTY = [0, 0, 0]
 
 
-def lines_state(lines: list[dict]) -> dict:
+def lines_state(lines: list[tuple[list, list, bool]]) -> dict:
     """Whole lines in order: counts, closed language characters, and the blocks still open at both ends."""
     out = {"counts": [0] * len(LINE_COUNTS), "language": 0, "lead": EMPTY, "trail": EMPTY, "broken": False}
-    for line in lines:
-        counts, block, alone = close_line(line)
+    for counts, block, alone in lines:
         block = [block[0] + 1, *block[1:]]  # its line break
         out["counts"] = add(out["counts"], counts)
         if alone:
@@ -140,7 +176,7 @@ def chunk_state(text: str) -> dict:
     lines = text.split("\n")
     if len(lines) == 1:
         return {"first": line_state(text), "rest": None, "last": None}
-    return {"first": line_state(lines[0]), "rest": lines_state([line_state(x) for x in lines[1:-1]]), "last": line_state(lines[-1])}
+    return {"first": line_state(lines[0]), "rest": lines_state(list(map(whole_line, lines[1:-1]))), "last": line_state(lines[-1])}
 
 
 def join_chunks(a: dict, b: dict) -> dict:
@@ -151,7 +187,7 @@ def join_chunks(a: dict, b: dict) -> dict:
         return b | {"first": join_lines(a["first"], b["first"])}
     if b["rest"] is None:
         return a | {"last": join_lines(a["last"], b["first"])}
-    seam = lines_state([join_lines(a["last"], b["first"])])
+    seam = lines_state([close_line(join_lines(a["last"], b["first"]))])
     return {"first": a["first"], "rest": join_blocks(join_blocks(a["rest"], seam), b["rest"]), "last": b["last"]}
 
 
@@ -163,9 +199,9 @@ STATISTICS = (
 
 def statistics(state: dict) -> list:
     """The values of STATISTICS. Ratios without anything to divide by are 0."""
-    rest = lines_state([state["first"]])
+    rest = lines_state([close_line(state["first"])])
     if state["rest"] is not None:
-        rest = join_blocks(join_blocks(rest, state["rest"]), lines_state([state["last"]]))
+        rest = join_blocks(join_blocks(rest, state["rest"]), lines_state([close_line(state["last"])]))
     language = rest["language"] + language_chars(rest["lead"]) + language_chars(rest["trail"])
     c = dict(zip(LINE_COUNTS, rest["counts"]))
     chars = state["chars"]
@@ -195,10 +231,21 @@ def _merge_all(group: pd.DataFrame) -> pd.DataFrame:
     return _merge_some(group)
 
 
+NAMES = [x.split()[0] for x in STATISTICS.split(", ")]
+
+
+def _derived(keys: pd.Series, states) -> pd.DataFrame:
+    return pd.concat([keys.rename("key").reset_index(drop=True), pd.DataFrame([statistics(x) for x in states], columns=NAMES)], axis=1)
+
+
 def _derive(batches):
-    names = [x.split()[0] for x in STATISTICS.split(", ")]
     for batch in batches:
-        yield pd.concat([batch[["key"]].reset_index(drop=True), pd.DataFrame([statistics(json.loads(s)) for s in batch["state"]], columns=names)], axis=1)
+        yield _derived(batch["key"], map(json.loads, batch["state"]))
+
+
+def _at_once(batches):
+    for batch in batches:
+        yield _derived(batch["key"], (chunk_state(t) | {"chars": len(t)} for t in batch["text"]))
 
 
 def text_quality(rows: DataFrame, key: str = "doc_id", text: str = "text", chunk: int = CHUNK) -> DataFrame:
@@ -209,15 +256,15 @@ def text_quality(rows: DataFrame, key: str = "doc_id", text: str = "text", chunk
     prose and counts as language, there being nothing else in it.
     """
     named = rows.select(F.col(key).alias("key"), F.col(text).alias("text")).filter("text is not null")
-    cut = F.when(F.length("text") > chunk, F.regexp_extract_all("text", F.lit(rf"(?s).{{1,{chunk}}}"), F.lit(0))).otherwise(F.array("text"))
-    chunks = named.select("key", cut.alias("cut")).select("key", F.size("cut").alias("chunks"), F.posexplode("cut").alias("no", "chunk"))
     kind = dict(rows.dtypes)[key]
-    shape = f"key {kind}, no int, chunks int, state string"
-    small = chunks.filter("chunks = 1").mapInPandas(_count, shape)
-    large = chunks.filter("chunks > 1").repartition("key", "no").mapInPandas(_count, shape)
+    result, shape = f"key {kind}, {STATISTICS}", f"key {kind}, no int, chunks int, state string"
+    small = named.filter(F.length("text") <= chunk).mapInPandas(_at_once, result)
+    cut = named.filter(F.length("text") > chunk).select("key", F.regexp_extract_all("text", F.lit(rf"(?s).{{1,{chunk}}}"), F.lit(0)).alias("cut"))
+    chunks = cut.select("key", F.size("cut").alias("chunks"), F.posexplode("cut").alias("no", "chunk"))
+    large = chunks.repartition("key", "no").mapInPandas(_count, shape)
     once = large.groupBy("key", F.floor(F.col("no") / FAN_IN)).applyInPandas(_merge_some, shape)
-    done = small.union(once.groupBy("key").applyInPandas(_merge_all, shape))
-    return done.mapInPandas(_derive, f"key {kind}, {STATISTICS}").withColumnRenamed("key", key)
+    done = once.groupBy("key").applyInPandas(_merge_all, shape).mapInPandas(_derive, result)
+    return small.union(done).withColumnRenamed("key", key)
 
 
 def not_language(rows: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
