@@ -96,24 +96,24 @@ def sketch_of(mins: np.ndarray) -> np.ndarray:
     return (top << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(axis=2, dtype=np.uint64).view(np.int64)
 
 
-def keys_of(mins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def keys_of(mins: np.ndarray, guards: int) -> tuple[np.ndarray, np.ndarray]:
     """The band keys of the fingerprints in the rows of ``mins``, and for each key the row it is of.
 
-    A band has two 23-bit segments, each filled from two minimum hashes (12 and 11 bits). The guard segment counts as
-    it is; the fuzzy one is decoded to its nearby codeword indices. So two records share a key of the band if their
+    A band has a guard of ``guards`` minimum hashes (12 bits each) that counts as it is, and a fuzzy 23-bit segment of two more (12
+    and 11 bits) that is decoded to its nearby codeword indices. So two records share a key of the band if their
     guards agree and their fuzzy segments differ in at most two bits. By the pigeonhole principle some band does
     unless every band has an error in its guard or three in its fuzzy segment.
     """
-    rows, width = mins.shape
-    low = mins.astype(np.int64)
-    segment = (low[:, 0::2] & 0xFFF) << 11 | low[:, 1::2] & 0x7FF
-    guard, fuzzy = segment[:, 0::2], segment[:, 1::2]
-    index = near_indices(fuzzy.ravel())
-    base = (np.arange(width // 4)[None, :] << 40 | guard << 12).ravel()
+    bands = mins.shape[1] // (guards + 2)
+    low = mins.astype(np.int64).reshape(len(mins), bands, guards + 2) & 0xFFF
+    index = near_indices((low[:, :, guards] << 11 | low[:, :, guards + 1] & 0x7FF).ravel())
+    base = np.broadcast_to(np.arange(bands), (len(mins), bands)).astype(np.int64)
+    for k in range(guards):
+        base = base << 12 | low[:, :, k]
     first = np.ones(index.shape, bool)
     first[:, 1:] = index[:, 1:] != index[:, :-1]
     at, _ = np.nonzero(first)
-    return base[at] | index[first], at // (width // 4)
+    return base.ravel()[at] << 12 | index[first], at // bands
 
 
 class WordHashes(dict):
@@ -136,7 +136,7 @@ def shingle_hashes(words: list[bytes], width: int, known: dict) -> np.ndarray:
     return np.unique(out)
 
 
-def _sketch(batches, width: int, min_words: int, bands: int):
+def _sketch(batches, width: int, min_words: int, hashes_each: int):
     known = WordHashes()
     for batch in batches:
         rows = []
@@ -145,17 +145,18 @@ def _sketch(batches, width: int, min_words: int, bands: int):
             if len(words) < max(min_words, width):
                 continue
             hashes = shingle_hashes(words, width, known)
-            rows.append((digest, len(hashes), fingerprint(hashes, bands * 4).tobytes()))
+            rows.append((digest, len(hashes), fingerprint(hashes, hashes_each).tobytes()))
         yield pd.DataFrame(rows, columns=["digest", "kinds", "mins"])
 
 
-def _keys(batches):
+def _keys(batches, guards: int):
     for batch in batches:
         if len(batch):
             mins = np.frombuffer(b"".join(batch["mins"]), np.uint16).reshape(len(batch), -1)
             sketch = sketch_of(mins)
+            mins = mins[:, : mins.shape[1] // (guards + 2) * (guards + 2)]
             for start in range(0, len(batch), 1000):
-                keys, at = keys_of(mins[start : start + 1000])
+                keys, at = keys_of(mins[start : start + 1000], guards)
                 at += start
                 yield pd.DataFrame({"key": keys, "doc": batch["doc"].to_numpy()[at], "kinds": batch["kinds"].to_numpy()[at], "one": sketch[at, 0], "two": sketch[at, 1]})
 
@@ -195,24 +196,26 @@ def only(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
     return rows.join(F.broadcast(wanted) if small else wanted, key, "left_semi")
 
 
-def near_pairs(texts: DataFrame, width: int = 5, similarity: float = 0.8, min_words: int = 0, bands: int = BANDS) -> DataFrame:
+def near_pairs(texts: DataFrame, width: int = 5, similarity: float = 0.8, min_words: int = 0, bands: int = BANDS, guards: int = 2) -> DataFrame:
     """``x, y, similarity`` (x < y) of the digests of different texts alike enough.
 
     Copies are put together by their digest before any key is made, so a copied text counts once. Candidates share a band key; they are
-    thinned by the sizes of their shingle sets, which is exact, and by how many of 32 minimum hashes agree in four bits, at 4
+    thinned by the sizes of their shingle sets, which is exact, and by how many of 32 minimum hashes agree in four bits, at 3
     deviations below what a pair at the threshold has; the rest are verified on their whole texts. No bucket and no
-    number of partners is capped. Keys travel with a 64-bit name of the text; two texts of one name are both looked at.
+    number of partners is capped. A band finds a pair of similarity s with a chance of about s ** guards * (s ** 2 + 0.06 * s * (1 - s)), so a low
+    similarity wants few guards, while each guard more makes random candidates rarer by the share of shingles that random texts have in
+    common. Keys travel with a 64-bit name of the text; two texts of one name are both looked at.
     """
-    work = partial(_sketch, width=width, min_words=min_words, bands=bands)
+    work = partial(_sketch, width=width, min_words=min_words, hashes_each=max(32, bands * (guards + 2)))
     made = texts.mapInPandas(work, "digest binary, kinds int, mins binary").groupBy("digest").agg(F.first("kinds").alias("kinds"), F.first("mins").alias("mins"))
     made = settle(made.withColumn("doc", F.xxhash64("digest")))
-    keyed = made.select("doc", "kinds", "mins").mapInPandas(_keys, "key bigint, doc bigint, kinds int, one bigint, two bigint")
+    keyed = made.select("doc", "kinds", "mins").mapInPandas(partial(_keys, guards=guards), "key bigint, doc bigint, kinds int, one bigint, two bigint")
     left, right = (keyed.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("doc", "kinds", "one", "two"))) for s in "pq")
     chance = similarity + (1 - similarity) / 16
     met = left.join(right, "key").filter(
         (F.col("doc_p") < F.col("doc_q"))
         & (F.least("kinds_p", "kinds_q") >= F.lit(similarity) * F.greatest("kinds_p", "kinds_q"))
-        & (agreeing(F.col("one_p"), F.col("one_q")) + agreeing(F.col("two_p"), F.col("two_q")) >= 32 * chance - 4 * (32 * chance * (1 - chance)) ** 0.5)
+        & (agreeing(F.col("one_p"), F.col("one_q")) + agreeing(F.col("two_p"), F.col("two_q")) >= 32 * chance - 3 * (32 * chance * (1 - chance)) ** 0.5)
     )
     candidates = settle(met.select(F.col("doc_p").alias("p"), F.col("doc_q").alias("q")).distinct())
     one, two = (made.select(F.col("doc").alias(d), F.col("digest").alias(f"digest_{d}")) for d in "pq")
@@ -247,7 +250,7 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     return edges.select(F.col("x").alias("node"), F.col("y").alias("class")).union(roots).distinct()
 
 
-def near_duplicate_groups(rows: DataFrame, key: str = "id", text: str = "document", width: int = 5, similarity: float = 0.8, min_words: int = 0) -> DataFrame:
+def near_duplicate_groups(rows: DataFrame, key: str = "id", text: str = "document", width: int = 5, similarity: float = 0.8, min_words: int = 0, bands: int = BANDS, guards: int = 2) -> DataFrame:
     """One row a key: ``id, class, copies, links``.
 
     class is the least id of the group of texts linked by near-duplication, copies the ids with the very same text
@@ -256,7 +259,7 @@ def near_duplicate_groups(rows: DataFrame, key: str = "id", text: str = "documen
     """
     members, texts = texts_of(rows, key, text)
     members = settle(members)
-    found = settle(near_pairs(texts, width, similarity, min_words))
+    found = settle(near_pairs(texts, width, similarity, min_words, bands, guards))
     ends = found.select(F.col("x").alias("digest")).union(found.select(F.col("y").alias("digest")))
     degree = ends.groupBy("digest").agg(F.count(F.lit(1)).alias("links"))
     roots = components(found).select(F.col("node").alias("digest"), F.col("class").alias("root"))
@@ -266,14 +269,14 @@ def near_duplicate_groups(rows: DataFrame, key: str = "id", text: str = "documen
     return members.join(kinds.join(first, "root").select("digest", "class", "copies", F.coalesce("links", F.lit(0)).alias("links")), "digest").drop("digest")
 
 
-def near_duplicate_ids(rows: DataFrame, key: str = "id", text: str = "document", width: int = 3, similarity: float = 0.6, min_words: int = 40) -> DataFrame:
+def near_duplicate_ids(rows: DataFrame, key: str = "id", text: str = "document", width: int = 3, similarity: float = 0.6, min_words: int = 40, bands: int = 12, guards: int = 1) -> DataFrame:
     """``id_a, id_b`` (id_a < id_b): all keys of near texts and of equal texts of at least ``min_words`` words."""
     members, texts = texts_of(rows, key, text)
     members = settle(members)
     long = F.regexp_count("text", F.lit("[A-Za-z0-9]++")) >= min_words
     same = members.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest")
     copied = only(texts, same, "digest").filter(long).select(F.col("digest").alias("x"), F.col("digest").alias("y")).distinct()
-    pairs = near_pairs(texts, width, similarity, min_words).select("x", "y").union(copied)
+    pairs = near_pairs(texts, width, similarity, min_words, bands, guards).select("x", "y").union(copied)
     one, two = (members.select(F.col("digest").alias(d), F.col("id").alias(i)) for d, i in (("x", "id_x"), ("y", "id_y")))
     met = pairs.join(one, "x").join(two, "y").filter((F.col("x") != F.col("y")) | (F.col("id_x") < F.col("id_y")))
     return met.select(F.least("id_x", "id_y").alias("id_a"), F.greatest("id_x", "id_y").alias("id_b")).filter("id_a != id_b").distinct()

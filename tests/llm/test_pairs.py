@@ -117,7 +117,7 @@ def test_near_duplicates_against_all_pairs(spark, copies):
     want = {(a, b) for a in texts for b in texts if a < b and len(texts[a] & texts[b]) >= 0.6 * len(texts[a] | texts[b])}
     got = {(r["id_a"], r["id_b"]) for r in neardup.near_duplicate_ids(df).collect()}
     assert got <= want and len(got) >= 0.97 * len(want) and ("dup1", "dup2") in got
-    groups = {r["id"]: r for r in neardup.near_duplicate_groups(df, width=3, similarity=0.6).collect()}
+    groups = {r["id"]: r for r in neardup.near_duplicate_groups(df, width=3, similarity=0.6, guards=1).collect()}
     assert groups["dup1"]["class"] == groups["g0a"]["class"] == "dup1" and groups["dup2"]["copies"] == 3
     assert groups["short"]["class"] == groups["short2"]["class"] == "short" and groups["empty"]["links"] == 0 and "null" not in groups
     assert neardup.near_duplicate_ids(df.limit(0)).count() == 0
