@@ -196,7 +196,14 @@ def only(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
     return rows.join(F.broadcast(wanted) if small else wanted, key, "left_semi")
 
 
-def near_pairs(texts: DataFrame, width: int = 5, similarity: float = 0.8, min_words: int = 0, bands: int = BANDS, guards: int = 2) -> DataFrame:
+def sketches(texts: DataFrame, width: int, min_words: int, bands: int, guards: int) -> DataFrame:
+    """``digest, kinds, mins, doc`` of each distinct text of enough words, settled: its shingles' number and minimum hashes."""
+    work = partial(_sketch, width=width, min_words=min_words, hashes_each=max(32, bands * (guards + 2)))
+    made = texts.mapInPandas(work, "digest binary, kinds int, mins binary").groupBy("digest").agg(F.first("kinds").alias("kinds"), F.first("mins").alias("mins"))
+    return settle(made.withColumn("doc", F.xxhash64("digest")))
+
+
+def near_pairs(texts: DataFrame, width: int = 5, similarity: float = 0.8, min_words: int = 0, bands: int = BANDS, guards: int = 2, made: DataFrame | None = None) -> DataFrame:
     """``x, y, similarity`` (x < y) of the digests of different texts alike enough.
 
     Copies are put together by their digest before any key is made, so a copied text counts once. Candidates share a band key; they are
@@ -206,9 +213,7 @@ def near_pairs(texts: DataFrame, width: int = 5, similarity: float = 0.8, min_wo
     similarity wants few guards, while each guard more makes random candidates rarer by the share of shingles that random texts have in
     common. Keys travel with a 64-bit name of the text; two texts of one name are both looked at.
     """
-    work = partial(_sketch, width=width, min_words=min_words, hashes_each=max(32, bands * (guards + 2)))
-    made = texts.mapInPandas(work, "digest binary, kinds int, mins binary").groupBy("digest").agg(F.first("kinds").alias("kinds"), F.first("mins").alias("mins"))
-    made = settle(made.withColumn("doc", F.xxhash64("digest")))
+    made = sketches(texts, width, min_words, bands, guards) if made is None else made
     keyed = made.select("doc", "kinds", "mins").mapInPandas(partial(_keys, guards=guards), "key bigint, doc bigint, kinds int, one bigint, two bigint")
     left, right = (keyed.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("doc", "kinds", "one", "two"))) for s in "pq")
     chance = similarity + (1 - similarity) / 16
@@ -273,10 +278,10 @@ def near_duplicate_ids(rows: DataFrame, key: str = "id", text: str = "document",
     """``id_a, id_b`` (id_a < id_b): all keys of near texts and of equal texts of at least ``min_words`` words."""
     members, texts = texts_of(rows, key, text)
     members = settle(members)
-    long = F.regexp_count("text", F.lit("[A-Za-z0-9]++")) >= min_words
+    made = sketches(texts, width, min_words, bands, guards)
     same = members.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest")
-    copied = only(texts, same, "digest").filter(long).select(F.col("digest").alias("x"), F.col("digest").alias("y")).distinct()
-    pairs = near_pairs(texts, width, similarity, min_words, bands, guards).select("x", "y").union(copied)
+    copied = made.select("digest").join(same, "digest", "left_semi").select(F.col("digest").alias("x"), F.col("digest").alias("y"))
+    pairs = near_pairs(texts, width, similarity, min_words, bands, guards, made).select("x", "y").union(copied)
     one, two = (members.select(F.col("digest").alias(d), F.col("id").alias(i)) for d, i in (("x", "id_x"), ("y", "id_y")))
     met = pairs.join(one, "x").join(two, "y").filter((F.col("x") != F.col("y")) | (F.col("id_x") < F.col("id_y")))
     return met.select(F.least("id_x", "id_y").alias("id_a"), F.greatest("id_x", "id_y").alias("id_b")).filter("id_a != id_b").distinct()
