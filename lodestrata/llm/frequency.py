@@ -35,7 +35,7 @@ def term_frequencies(
         .agg(F.sum("n").alias("occurrences"), F.count_if("new").alias("records"))
     )
     total = tokens.select("record").groupBy("record").agg(F.lit(1)).agg(F.count("record").alias("total_records"))
-    return counted.crossJoin(F.broadcast(total)).select(  # the other side is one row
+    return counted.withColumn("total_records", total.scalar()).select(
         "term", "occurrences", "records", "total_records",
         (F.col("records") < rare_below).alias("is_rare"),
         (F.col("records") > F.col("total_records") * common_above).alias("is_common"),

@@ -87,8 +87,8 @@ def pack(rows: DataFrame, sizes: DataFrame, key: str = "doc_id", text: str = "te
     items = settle(rows.select(F.col(key).alias("key"), token_count(vocabulary)(F.col(text)).alias("size")))
     names = sizes.select("pack_name", F.col("capacity_tokens").cast("int").alias("capacity_tokens")).filter("capacity_tokens > 0").distinct()
     wanted = [(str(r[0]), r[0]) for r in names.select("capacity_tokens").distinct().collect()]  # a handful, by their nature
-    wanted_df = items.sparkSession.createDataFrame(wanted, "pack_name string, capacity_tokens int")
-    per = items.crossJoin(F.broadcast(wanted_df))  # the other side is the capacities
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("pack_name"), F.lit(c).cast("int").alias("capacity_tokens")) for n, c in wanted or [("none", 1)]]))
+    per = (items if wanted else items.limit(0)).select("*", each.alias("w")).select("key", "size", "w.*")
     rest = F.when(F.col("size") > 0, F.pmod(F.col("size") - 1, F.col("capacity_tokens")) + 1).otherwise(0)
     per = per.withColumn("rest", rest.cast("int")).withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int"))
     cells = per.groupBy("pack_name", "capacity_tokens", "rest", "salt").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("size") - F.col("rest")).alias("over"))
