@@ -115,7 +115,7 @@ def concept_map(graph: DataFrame, query: list[str], hops: int = 2) -> DataFrame:
 
 def stats(links: DataFrame, graph: DataFrame) -> DataFrame:
     """``nodes, edges``: one row."""
-    return links.agg(F.count_distinct("entity").alias("nodes")).crossJoin(graph.agg(F.count(F.lit(1)).alias("edges")))  # one row each
+    return links.agg(F.count_distinct("entity").alias("nodes")).withColumn("edges", graph.agg(F.count(F.lit(1))).scalar())
 
 
 def node_link_json(links: DataFrame, graph: DataFrame) -> DataFrame:

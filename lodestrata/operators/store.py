@@ -103,4 +103,4 @@ def orphan_sources(files: DataFrame, chunks: DataFrame) -> DataFrame:
 def verdict(report: DataFrame, orphans: DataFrame) -> DataFrame:
     """``files, complete, orphans, ok``: one row; ok if there are files, all complete, and no orphans."""
     done = report.agg(F.count(F.lit(1)).alias("files"), F.count_if(F.col("issues") == "OK").alias("complete"))
-    return done.crossJoin(orphans.agg(F.count(F.lit(1)).alias("orphans"))).withColumn("ok", F.expr("files > 0 and files = complete and orphans = 0"))  # one row each
+    return done.withColumn("orphans", orphans.agg(F.count(F.lit(1))).scalar()).withColumn("ok", F.expr("files > 0 and files = complete and orphans = 0"))
