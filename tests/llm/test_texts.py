@@ -125,6 +125,11 @@ def test_scan_lines():
     assert "STIFF COLUMN DENSITY OF RUN 7881" in text.split("\n\n") and "- 12 -" not in text
 
 
+def test_scan_ignores_unseen_characters():
+    dirty = PAGE.replace("kernel", "ker\u200bnel").replace("lattice", "lat\u00adtice")
+    assert scan_noise.analyse(dirty, vocabulary()) == scan_noise.analyse(PAGE, vocabulary())
+
+
 def test_scan_leaves_other_text(spark):
     rows = [("a", PAGE, 1), ("a", PAGE, 1), ("b", "One paragraph only.", 1), ("c", "- x\n- y\n- z\n- w", 1), ("d", None, 1), ("e", "", 1), ("f", "a, b\n" * 5000, 1)]
     df = spark.createDataFrame(rows, "id string, document string, noise int")
