@@ -138,3 +138,16 @@ def test_components(spark):
         root[y] = x
     got = {r["node"]: r["class"] for r in neardup.components(spark.createDataFrame(pairs, "x int, y int")).collect()}
     assert got == {n: find(n) for p in pairs for n in p}
+
+
+def test_pairs_at_the_threshold_are_found(spark):
+    rng = random.Random(11)
+    rows = []
+    for g in range(400):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(100)]
+        other = base[:30] + [f"n{rng.randrange(10**6)}" for _ in range(22)] + base[52:]  # 24 of 98 shingles differ: 74 of 122 are in both
+        rows += [(f"g{g:03d}a", " ".join(base)), (f"g{g:03d}b", " ".join(other))]
+    one, two = (neardup.shingles(t, 3) for _, t in rows[:2])
+    assert 0.6 <= len(one & two) / len(one | two) < 0.61
+    got = {(r["id_a"], r["id_b"]) for r in neardup.near_duplicate_ids(spark.createDataFrame(rows, "id string, document string")).collect()}
+    assert got <= {(f"g{g:03d}a", f"g{g:03d}b") for g in range(400)} and len(got) >= 399
