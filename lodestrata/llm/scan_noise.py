@@ -48,7 +48,8 @@ SHARE = 2e-6
 VECTOR, WINDOW = 8, 1
 #: Words to either side whose vectors make up the context of a word.
 AROUND = 3
-ATTESTED = 100
+#: A misreading is used like the word that it stands for: from this cosine of their vectors on, a word is none of its own.
+ALIKE = 0.5
 NOISE = "furniture broken misread".split()
 
 
@@ -96,8 +97,9 @@ class Words:
         mean /= np.linalg.norm(mean) or 1.0
         score = lambda w: float(self.vectors[self.index[w]] @ mean) if w in self.index else -1.0
         best = max(found, key=lambda c: (score(c), self.counts[c]))
-        if word in self.index and self.counts.get(word, 0) >= ATTESTED and not any(c in HARD for c in word) and score(word) > score(best) + 0.3:
-            return None  # a word of its own that fits here better; with fewer occurrences a vector says too little
+        if word in self.index and best in self.index and not any(c in HARD for c in word) and score(word) > score(best) + 0.3:
+            if self.vectors[self.index[word]] @ self.vectors[self.index[best]] < ALIKE:
+                return None  # a word of its own that fits here better; which words have vectors is a share of all words, no count
         return best
 
 

@@ -130,6 +130,31 @@ def test_scan_ignores_unseen_characters():
     assert scan_noise.analyse(dirty, vocabulary()) == scan_noise.analyse(PAGE, vocabulary())
 
 
+def test_veto_is_alike_at_every_size():
+    vectors = np.array([[1.0, 0.0], [0.8, 0.6], [0.0, 1.0], [0.0, 1.0], [1.0, 0.0]])  # that, tbat, around both words, cast, east
+    index = {"that": 0, "tbat": 1, "near": 2, "cast": 3, "east": 4}
+    for times in (1, 100):
+        counts = {w: n * times for w, n in {"that": 9000, "tbat": 47, "near": 900, "cast": 20, "east": 900}.items()}
+        words = scan_noise.Words(counts, 5 * times, index, vectors)
+        assert words.correct("tbat", ["near"]) == "that"  # used like the word it is read from
+        assert words.correct("cast", ["near"]) is None  # a word of its own
+
+
+def test_scan_of_repeated_corpus(spark):
+    rng = np.random.default_rng(4)
+    plain = "kernel operator boundary change sensor limits layered vortex temperature plume smooth static channel follows lattice density".split()
+    docs = [" ".join(rng.choice(plain, 60)) for _ in range(40)]
+    docs = [d.replace("kernel", "kcrnel", 1) if k == 7 else d.replace("smooth", "srnooth", 1) if k == 11 else d for k, d in enumerate(docs)]
+    docs = ["\n".join(" ".join(d.split()[i : i + 8]) for i in range(0, 60, 8)) for d in docs]
+    found = []
+    for times in (1, 100):
+        df = spark.createDataFrame([(f"{k} {n}", d) for k, d in enumerate(docs) for n in range(times)], "id string, document string")
+        got = {(r["id"], r["line_no"]) for r in scan_noise.noisy_lines(df).collect()}
+        found.append({(i.split()[0], n) for i, n in got})
+        assert len(got) == times * len(found[-1])
+    assert found[0] == found[1] and {i for i, _ in found[0]} == {"7", "11"}
+
+
 def test_scan_leaves_other_text(spark):
     rows = [("a", PAGE, 1), ("a", PAGE, 1), ("b", "One paragraph only.", 1), ("c", "- x\n- y\n- z\n- w", 1), ("d", None, 1), ("e", "", 1), ("f", "a, b\n" * 5000, 1)]
     df = spark.createDataFrame(rows, "id string, document string, noise int")
