@@ -45,7 +45,7 @@ for _wrong, _right in GLYPHS:
         BY_SIGN.setdefault(_wrong[0], []).append((_wrong, _right))
 #: A word is in the vocabulary from this share of all words on (and five occurrences): at most 500,000 words.
 SHARE = 2e-6
-VECTOR, WINDOW = 8, 1
+VECTOR, WINDOW = 24, 3
 #: Words to either side whose vectors make up the context of a word.
 AROUND = 3
 #: A misreading is used like the word that it stands for: from this cosine of their vectors on, a word is none of its own.
@@ -97,7 +97,7 @@ class Words:
         mean /= np.linalg.norm(mean) or 1.0
         score = lambda w: float(self.vectors[self.index[w]] @ mean) if w in self.index else -1.0
         best = max(found, key=lambda c: (score(c), self.counts[c]))
-        if word in self.index and best in self.index and not any(c in HARD for c in word) and score(word) > score(best) + 0.3:
+        if word in self.index and best in self.index and score(word) > score(best) + 0.3:
             if self.vectors[self.index[word]] @ self.vectors[self.index[best]] < ALIKE:
                 return None  # a word of its own that fits here better; which words have vectors is a share of all words, no count
         return best
@@ -317,7 +317,7 @@ def token_list(text: str) -> list[str]:
 
 
 def _count(batches):
-    """Partial counts of words and of the short lines of wrapped texts, handed on before they outgrow the task, and the words of those texts."""
+    """Partial counts of words and of the short lines of wrapped texts, handed on before they outgrow the task, and the words of each text."""
     words: Counter = Counter()
     lines: Counter = Counter()
     contexts: list[str] = []
@@ -333,8 +333,8 @@ def _count(batches):
         for text in batch["text"]:
             found = token_list(text)
             words.update(found)
+            contexts.append(" ".join(found))
             if text.count("\n") >= 3 and MAY_GO_ON.search(text):
-                contexts.append(" ".join(found))
                 lines.update(x for x in map(plain_line, text.split("\n")) if 3 <= len(x) <= 60)
         if len(words) + len(lines) > 300_000 or len(contexts) > 5_000:
             yield handed()
@@ -342,7 +342,7 @@ def _count(batches):
 
 
 def learn(named: DataFrame) -> Words:
-    """Counts of the words of all records, and of all wrapped ones, which are what is to be repaired, skip-gram vectors and the short lines that recur.
+    """Counts and skip-gram vectors of the words of all records, and the short lines that recur in the wrapped ones.
 
     What comes to the driver is bounded whatever the collection: at most 1 / SHARE words, vectors for at most 100,000
     of them, and at most 100,000 lines.

@@ -155,6 +155,20 @@ def test_scan_of_repeated_corpus(spark):
     assert found[0] == found[1] and {i for i, _ in found[0]} == {"7", "11"}
 
 
+def test_context_is_learnt_from_all_texts(spark):
+    rng = np.random.default_rng(6)
+    plain = "kernel operator boundary change sensor limits layered vortex".split()
+    rows = [(k, " ".join(rng.choice(plain, 60))) for k in range(40)]  # one line each, so none is wrapped
+    words = scan_noise.learn(spark.createDataFrame(rows, "id int, text string"))
+    assert set(words.index) == set(plain) and words.vectors.shape[1] >= 24 and scan_noise.WINDOW >= 3
+
+
+def test_context_may_keep_a_word_with_a_digit():
+    vectors = np.array([[1.0, 0.0], [0.0, 1.0], [0.0, 1.0]])
+    words = scan_noise.Words({"also": 9000, "als0": 400, "near": 900}, 5, {"also": 0, "als0": 1, "near": 2}, vectors)
+    assert words.correct("als0", ["near"]) is None and words.correct("als0", ["also"]) == "also"
+
+
 def test_scan_leaves_other_text(spark):
     rows = [("a", PAGE, 1), ("a", PAGE, 1), ("b", "One paragraph only.", 1), ("c", "- x\n- y\n- z\n- w", 1), ("d", None, 1), ("e", "", 1), ("f", "a, b\n" * 5000, 1)]
     df = spark.createDataFrame(rows, "id string, document string, noise int")
