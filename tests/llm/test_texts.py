@@ -89,14 +89,42 @@ def test_split_limits_overlaps_and_bodies(spark):
     assert [len(of[k]) for k in ("s", "e", "x")] == [1, 1, 1]
     for one, two in zip(of["p"], of["p"][1:]):
         last = one["text"].strip().replace("\n\n", " ").split(". ")[-2:]
-        assert two["text"].startswith(". ".join(last)) and two["overlap_words"] > 0
-    assert all(r["overlap_words"] == 220 for r in of["l"][1:])
+        assert two["text"].replace("\n\n", " ").startswith(". ".join(last)) and two["overlap_words"] > 0
+    assert all(r["overlap_words"] == 220 for r in of["l"][1:]) and len(of["l"]) > 2
+    texts = dict(rows)
+    for k, parts in of.items():
+        assert parts[0]["words"] >= 440 or len(parts) == 1  # the first fills the limit
+        assert all(r["text"] in texts[k] for r in parts)
+        assert sum(r["words"] - r["overlap_words"] for r in parts if k != "x") == (len(texts[k].split()) if k != "x" else 0)
     assert all(r["overlap_words"] == 0 for k in "nr" for r in of[k])
     assert " ".join(r["text"] for r in of["n"]).split() == ("word " * 1300).split()
     assert {r["id"] for r in split.oversized_ids(df).collect()} == {"p", "l", "n", "r"}
     assert split.split_oversized(df.limit(0)).count() == 0
 
 
+def test_split_with_large_limits(spark):
+    rng = random.Random(9)
+    text = " ".join(f"w{i}" + "." * (rng.random() < 0.05) for i in range(200_000))
+    df = spark.createDataFrame([("a", text), ("b", "word " * 200_000)], "id string, document string")
+    for limit in (2_000, 50_000):
+        got = split.split_oversized(df, limit=limit).orderBy("id", "piece_no").collect()
+        assert max(r["words"] for r in got) <= limit and min(r["words"] for r in got if r["piece_no"] == 0) > 0.98 * limit
+        assert sum(r["words"] - r["overlap_words"] for r in got) == 400_000
+
+
+def test_split_overlap_takes_in_what_has_no_stop(spark):
+    text = "One two three. Four five six. Seven eight nine.\n\nA heading\n\n" + " ".join(f"x{i}" for i in range(40)) + "."
+    got = split.split_oversized(spark.createDataFrame([("a", text)], "id string, document string"), limit=22).orderBy("piece_no").collect()
+    assert got[0]["text"].endswith("A heading\n\n") and got[1]["text"].startswith("Four five six. Seven eight nine.\n\nA heading\n\nx0 x1")
+
+
+@pytest.mark.parametrize("most", [0, 1, 31, 32, 33, 100, 1023, 1024, 1500])
+def test_units_up_to(spark, most):
+    df = spark.createDataFrame([("w " * (most + 5),), ("w " * (most // 2),)], "t string")
+    got = [r[0] for r in df.select(F.length(F.regexp_extract("t", r"\A" + split.up_to(most), 0)) / 2).collect()]
+    assert got == [most, most // 2]
+
+
 PAGE = """The kernel of the operator is stiff and the boundary does not ch@nge
 while the sensor limits it. Near the layered vortex the tempera-
 - 12 -
