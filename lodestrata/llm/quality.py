@@ -9,14 +9,14 @@ from __future__ import annotations
 
 import json
 import re
-from functools import reduce
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CHUNK = 1 << 16
-FAN_IN = 64
+#: Characters of a chunk, chunks of a text that one task counts, and states merged at a time.
+CHUNK, SPREAD, FAN_IN = 2048, 512, 128
 # The commonest words of four languages.
 COMMON = frozenset(
     "the of and is a not it that for in are with as see both does our have which to at by what would no same each but while on an or be "
@@ -213,22 +213,20 @@ def statistics(state: dict) -> list:
     return [chars, c["words"], c["lines"], over(c["word_chars"], c["words"]), over(c["symbols"], c["word_chars"]), over(c["digits"], c["word_chars"]), over(c["punctuated"], full), over(c["common"], c["words"]), items, rows, share, kind, not chars or share >= 0.5]
 
 
-def _count(batches):
-    for batch in batches:
-        out = []
-        for text in batch["chunk"]:
-            out.append(json.dumps(chunk_state(text) | {"chars": len(text)}))
-        yield batch[["key", "no", "chunks"]].assign(state=out)
+def join_all(states: list[dict]) -> dict:
+    """The states of neighbouring chunks merged two by two, level by level."""
+    while len(states) > 1:
+        states = [join_chunks(*two) | {"chars": two[0]["chars"] + two[1]["chars"]} if len(two) == 2 else two[0] for two in (states[i : i + 2] for i in range(0, len(states), 2))]
+    return states[0]
 
 
-def _merge_some(group: pd.DataFrame) -> pd.DataFrame:
-    states = [json.loads(s) for s in group.sort_values("no")["state"]]
-    whole = reduce(lambda a, b: join_chunks(a, b) | {"chars": a["chars"] + b["chars"]}, states)
-    return pd.DataFrame({"key": [group["key"].iloc[0]], "no": [group["no"].min()], "chunks": [1], "state": [json.dumps(whole)]})
+def counted(chunk: str) -> dict:
+    return chunk_state(chunk) | {"chars": len(chunk)}
 
 
-def _merge_all(group: pd.DataFrame) -> pd.DataFrame:
-    return _merge_some(group)
+def text_state(text: str, chunk: int) -> dict:
+    """The state of a text from those of its chunks."""
+    return join_all([counted(text[i : i + chunk]) for i in range(0, len(text), chunk)] or [counted("")])
 
 
 NAMES = [x.split()[0] for x in STATISTICS.split(", ")]
@@ -238,33 +236,50 @@ def _derived(keys: pd.Series, states) -> pd.DataFrame:
     return pd.concat([keys.rename("key").reset_index(drop=True), pd.DataFrame([statistics(x) for x in states], columns=NAMES)], axis=1)
 
 
-def _derive(batches):
+def _within(batches, chunk: int):
+    """Texts whose chunks stay in one task."""
     for batch in batches:
-        yield _derived(batch["key"], map(json.loads, batch["state"]))
+        yield _derived(batch["key"], (text_state(t, chunk) for t in batch["text"]))
+
+
+def _leaves(batches, chunk: int):
+    """The states of the parts of texts that are spread."""
+    for batch in batches:
+        yield batch[["key", "row", "no"]].assign(state=[json.dumps(text_state(t, chunk)) for t in batch["part"]])
 
 
-def _at_once(batches):
+def _branches(batches):
+    """Up to FAN_IN neighbouring states merged into one."""
     for batch in batches:
-        yield _derived(batch["key"], (chunk_state(t) | {"chars": len(t)} for t in batch["text"]))
+        states = [json.dumps(join_all([json.loads(x["state"]) for x in parts])) if len(parts) > 1 else parts[0]["state"] for parts in batch["parts"]]
+        yield batch[["key", "row", "no"]].assign(state=states)
+
+
+def _derive(batches):
+    for batch in batches:
+        yield _derived(batch["key"], map(json.loads, batch["state"]))
 
 
-def text_quality(rows: DataFrame, key: str = "doc_id", text: str = "text", chunk: int = CHUNK) -> DataFrame:
+def text_quality(rows: DataFrame, key: str = "doc_id", text: str = "text", chunk: int = CHUNK, spread: int = SPREAD) -> DataFrame:
     """One row a record: the key and STATISTICS.
 
-    Texts of more than ``chunk`` characters are cut and counted by pieces on all executors; the counts are merged in a
-    tree, FAN_IN at a time. Null texts are left out; keys are taken to be unique; an empty text has zeros, kind
-    prose and counts as language, there being nothing else in it.
+    Every text is cut into chunks of ``chunk`` characters that are counted on their own and merged in a tree. The chunks
+    of a text of more than ``spread`` of them are spread over all executors, and the tree grows over them, FAN_IN states at a time; three levels are enough
+    for the longest text that a row can hold. How a text is cut or spread changes no result. Null texts are left out; a key may be null or come again, each row
+    counts for itself; an empty text has zeros, kind prose and counts as language, there being nothing else in it.
     """
     named = rows.select(F.col(key).alias("key"), F.col(text).alias("text")).filter("text is not null")
     kind = dict(rows.dtypes)[key]
-    result, shape = f"key {kind}, {STATISTICS}", f"key {kind}, no int, chunks int, state string"
-    small = named.filter(F.length("text") <= chunk).mapInPandas(_at_once, result)
-    cut = named.filter(F.length("text") > chunk).select("key", F.regexp_extract_all("text", F.lit(rf"(?s).{{1,{chunk}}}"), F.lit(0)).alias("cut"))
-    chunks = cut.select("key", F.size("cut").alias("chunks"), F.posexplode("cut").alias("no", "chunk"))
-    large = chunks.repartition("key", "no").mapInPandas(_count, shape)
-    once = large.groupBy("key", F.floor(F.col("no") / FAN_IN)).applyInPandas(_merge_some, shape)
-    done = once.groupBy("key").applyInPandas(_merge_all, shape).mapInPandas(_derive, result)
-    return small.union(done).withColumnRenamed("key", key)
+    result, shape = f"key {kind}, {STATISTICS}", f"key {kind}, row bigint, no int, state string"
+    part = chunk * spread
+    one = named.filter(F.length("text") <= part).mapInPandas(partial(_within, chunk=chunk), result)
+    cut = named.filter(F.length("text") > part).select("key", F.monotonically_increasing_id().alias("row"), F.regexp_extract_all("text", F.lit(rf"(?s).{{1,{part}}}"), F.lit(0)).alias("cut"))
+    parts = cut.select("key", "row", F.posexplode("cut").alias("no", "part"))
+    states = parts.repartition(F.col("row"), F.col("no")).mapInPandas(partial(_leaves, chunk=chunk), shape)
+    for _ in range(3):
+        near = states.groupBy("key", "row", F.floor(F.col("no") / FAN_IN).cast("int").alias("no")).agg(F.sort_array(F.collect_list(F.struct("no", "state"))).alias("parts"))
+        states = near.mapInPandas(_branches, shape)
+    return one.union(states.mapInPandas(_derive, result)).withColumnRenamed("key", key)
 
 
 def not_language(rows: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

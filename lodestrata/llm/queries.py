@@ -105,11 +105,16 @@ def p10_quality(spark, folder):
     return quality.text_quality(table(spark, folder, "documents"))
 
 
+def p10_spread(spark, folder):
+    """p10_quality with the chunks of every text above 1,024 characters spread and merged over the executors."""
+    return quality.text_quality(table(spark, folder, "documents"), chunk=256, spread=4)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         p1_found, p1_frequency, p2_found, p2_pairs, p2_recorded, p3_found, p3_groups, p4_found, p4_normalized, p5_found, p5_repaired, p6_found, p6_clean,
-        p7_found, p7_pieces, p8_pack, p8_fill, p9_mix, p9_shares, p9_temperature, p10_found, p10_quality,
+        p7_found, p7_pieces, p8_pack, p8_fill, p9_mix, p9_shares, p9_temperature, p10_found, p10_quality, p10_spread,
     )
 }
 

@@ -114,7 +114,7 @@ def test_split_with_large_limits(spark):
 
 def test_split_overlap_takes_in_what_has_no_stop(spark):
     text = "One two three. Four five six. Seven eight nine.\n\nA heading\n\n" + " ".join(f"x{i}" for i in range(40)) + "."
-    got = split.split_oversized(spark.createDataFrame([("a", text)], "id string, document string"), limit=22).orderBy("piece_no").collect()
+    got = split.split_oversized(spark.createDataFrame([("a", text)], "id string, document string"), limit=20).orderBy("piece_no").collect()
     assert got[0]["text"].endswith("A heading\n\n") and got[1]["text"].startswith("Four five six. Seven eight nine.\n\nA heading\n\nx0 x1")
 
 
@@ -227,8 +227,11 @@ def test_quality_rows(spark):
     got = {r["doc_id"]: r for r in quality.text_quality(df).collect()}
     assert {k: r["mostly_language"] for k, r in got.items()} == {1: True, 2: False, 3: False, 5: True, 6: True, 7: True, 8: False, 9: False}
     assert got[2]["kind"] == "table" and got[3]["kind"] == "list" and got[7]["n_lines"] == 3001 and got[1]["punctuated_share"] == 1
-    small = {r["doc_id"]: r for r in quality.text_quality(df, chunk=500).collect()}
-    assert small == got and quality.text_quality(df.limit(0)).count() == 0
+    for chunk, spread in ((500, 1000), (64, 1), (7, 300)):
+        assert {r["doc_id"]: r for r in quality.text_quality(df, chunk=chunk, spread=spread).collect()} == got
+    twice = df.filter("doc_id = 7").union(df.filter("doc_id = 7")).union(df.filter("doc_id = 1").selectExpr("cast(null as bigint)", "text"))
+    assert quality.text_quality(twice, chunk=100, spread=2).count() == 3
+    assert quality.text_quality(df.limit(0)).count() == 0
     assert sorted(r[0] for r in quality.not_language(df).collect()) == [2, 3, 8, 9]
 
 
