@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from lodestrata.llm import frequency, lookalike, markup, mix, neardup, pack, quality, scan_noise, split, together
@@ -18,10 +20,16 @@ def p1_frequency(spark, folder):
 
 
 def p2_found(spark, folder):
-    pairs = together.together(table(spark, folder, "nodes"), min_together=4, min_lift=10.0)
+    """Pairs that are together more often than the null allows at LEVEL, and often enough by the definition of a case."""
+    pairs = together.together(table(spark, folder, "nodes"), min_together=4).filter(F.col("surprise") >= -math.log10(together.LEVEL))
     return pairs.filter((F.col("n_ab") >= 4) & (F.col("n_ab") * F.col("n_records") >= 10 * F.col("n_a") * F.col("n_b"))).select("a", "b")
 
 
+def p2_significant(spark, folder):
+    """The pairs of which no more than a twentieth are expected to be chance."""
+    return together.together(table(spark, folder, "nodes")).filter("q_value <= 0.05")
+
+
 def p2_pairs(spark, folder):
     return together.together(table(spark, folder, "nodes"))
 
@@ -113,7 +121,7 @@ def p10_spread(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
-        p1_found, p1_frequency, p2_found, p2_pairs, p2_recorded, p3_found, p3_groups, p4_found, p4_normalized, p5_found, p5_repaired, p6_found, p6_clean,
+        p1_found, p1_frequency, p2_found, p2_pairs, p2_significant, p2_recorded, p3_found, p3_groups, p4_found, p4_normalized, p5_found, p5_repaired, p6_found, p6_clean,
         p7_found, p7_pieces, p8_pack, p8_fill, p9_mix, p9_shares, p9_temperature, p10_found, p10_quality, p10_spread,
     )
 }

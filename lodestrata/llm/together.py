@@ -29,20 +29,43 @@ def degree_class(degree):
     return F.when(degree <= EXACT, degree).otherwise(above).cast("int")
 
 
-def fit_null(items: pd.DataFrame, records: pd.DataFrame, rounds: int = 2000, tolerance: float = 1e-9) -> dict:
+def fit_null(items: pd.DataFrame, records: pd.DataFrame, rounds: int = 20_000, tolerance: float = 1e-7, slack: float = 1e-3) -> dict:
     """The maximum-entropy bipartite null: P(item in record) = xy / (1 + xy), with every item's expected number of
-    records and every record's expected number of items as observed. items, records: ``cls, degree, count``."""
+    records and every record's expected number of items as observed. items, records: ``cls, degree, count``.
+
+    An item that is in every record, or a record that has every item, is certain and taken out first, as its parameter is infinite. The fit ends when no
+    expected degree is off by more than ``tolerance`` of it; if it has not after all rounds and one is off by more than ``slack``, it fails.
+    """
     n, k = items["degree"].to_numpy(float), items["count"].to_numpy(float)
     m, c = records["degree"].to_numpy(float), records["count"].to_numpy(float)
-    links = max((n * k).sum(), 1.0)
-    x, y = n / np.sqrt(links), m / np.sqrt(links)
-    for _ in range(rounds):
-        before = x
-        x = n / np.maximum((c * y / (1 + np.outer(x, y))).sum(axis=1), 1e-300)
-        y = m / np.maximum((k[:, None] * x[:, None] / (1 + np.outer(x, y))).sum(axis=0), 1e-300)
-        x, y = np.minimum(x, 1e12), np.minimum(y, 1e12)
-        if not len(x) or np.max(np.abs(x - before) / x) < tolerance:
+    sure_items, sure_records = np.zeros(len(n), bool), np.zeros(len(m), bool)
+    for _ in range(len(n) + len(m)):
+        full_items = ~sure_items & (n - c[sure_records].sum() >= c[~sure_records].sum() - 1e-9) & (n > 0)
+        full_records = ~sure_records & (m - k[sure_items].sum() >= k[~sure_items].sum() - 1e-9) & (m > 0)
+        if not full_items.any() and not full_records.any():
             break
+        sure_items |= full_items
+        if not full_items.any():
+            sure_records |= full_records
+    left_n, left_m = n - c[sure_records].sum(), m - k[sure_items].sum()
+    rows, columns = np.flatnonzero(~sure_items & (left_n > 1e-9)), np.flatnonzero(~sure_records & (left_m > 1e-9))
+    x, y = np.full(len(n), 1e-6), np.full(len(m), 1e-6)
+    x[sure_items], y[sure_records] = 1e12, 1e12
+    if len(rows) and len(columns):
+        a, b, many, each = left_n[rows], left_m[columns], k[rows], c[columns]
+        links = max((a * many).sum(), 1.0)
+        u, v = a / np.sqrt(links), b / np.sqrt(links)
+        for _ in range(rounds):
+            u = a / np.maximum((each * v / (1 + np.outer(u, v))).sum(axis=1), 1e-300)
+            v = b / np.maximum((many[:, None] * u[:, None] / (1 + np.outer(u, v))).sum(axis=0), 1e-300)
+            u, v = np.minimum(u, 1e9), np.minimum(v, 1e9)
+            off = np.max(np.abs(u * (each * v / (1 + np.outer(u, v))).sum(axis=1) - a) / a)  # the records' degrees are exact here
+            if off < tolerance:
+                break
+        else:
+            if off > slack:
+                raise ArithmeticError(f"the null has not converged: a degree is off by {off:.2g} of it")
+        x[rows], y[columns] = u, v
     return {"x": dict(zip(items["cls"].tolist(), x.tolist())), "y": y, "count": c}
 
 
@@ -94,13 +117,16 @@ def _tails(batches, null: dict):
         yield batch[["class_a", "class_b", "n_ab", "pairs"]].assign(expected=expected, log10_p=log_p)
 
 
-def together(rows: DataFrame, item: str = "entity", records: str = "chunks", min_together: int = 1, min_lift: float = 0.0, block: int = 256) -> DataFrame:
-    """``a, b, n_a, n_b, n_ab, n_records, lift, expected, surprise, q_value`` of every pair found together.
+#: How likely a pair may be by chance and yet count as found together more often than that.
+LEVEL = 0.05
+
+
+def together(rows: DataFrame, item: str = "entity", records: str = "chunks", min_together: int = 1, block: int = 256) -> DataFrame:
+    """``a, b, n_a, n_b, n_ab, n_records, lift, expected, surprise, q_value`` of every pair found together in ``min_together`` records or more.
 
     expected, surprise (-log10 of the Poisson-binomial tail) and the false-discovery rate q_value (Benjamini-Hochberg over all
-    possible pairs) come from a null that honours item frequency and record size. Pairs with fewer than
-    ``min_together`` records or a lift below ``min_lift`` are left out, and their items before any pair is made where
-    that loses nothing: n_ab <= min(n_a, n_b), so an item needs n >= min_together and n <= N / min_lift.
+    possible pairs, each pair that is together at all taking its rank) come from a null that honours item frequency and record size. ``min_together`` only
+    leaves rows out at the end, so it changes no value of the others.
 
     Null items and ids are none; repeated ids and rows count once; an empty table gives no rows.
     """
@@ -110,15 +136,13 @@ def together(rows: DataFrame, item: str = "entity", records: str = "chunks", min
     classes = lambda df, c: df.groupBy(degree_class(F.col(c)).alias("cls")).agg(F.avg(c).alias("degree"), F.count(F.lit(1)).alias("count")).toPandas()
     of_items, of_records = classes(items, "n"), classes(sizes, "m")  # bounded: see EXACT and STEP
     null, n_records, n_items = fit_null(of_items, of_records), int(of_records["count"].sum()), int(of_items["count"].sum())
-    kept = items.filter(F.col("n") >= min_together)
-    if min_lift > 0:
-        kept = kept.filter(F.col("n") * F.lit(min_lift) <= n_records)
-    pairs = count_pairs(links.join(kept.select("item"), "item"), "item", "record", block).withColumnRenamed("n", "n_ab").filter(F.col("n_ab") >= min_together)
-    one, two = (kept.select(F.col("item").alias(s), F.col("n").alias(f"n_{s}"), degree_class(F.col("n")).alias(f"class_{s}")) for s in "ab")
+    pairs = count_pairs(links, "item", "record", block).withColumnRenamed("n", "n_ab")
+    one, two = (items.select(F.col("item").alias(s), F.col("n").alias(f"n_{s}"), degree_class(F.col("n")).alias(f"class_{s}")) for s in "ab")
     pairs = pairs.join(one, "a").join(two, "b").withColumn("n_records", F.lit(n_records).cast("bigint"))
     pairs = pairs.withColumn("lift", F.col("n_ab") * F.lit(n_records) / (F.col("n_a") * F.col("n_b")))
-    pairs = settle(pairs.filter(F.col("n_ab") * F.lit(n_records) >= F.lit(min_lift) * F.col("n_a") * F.col("n_b")) if min_lift > 0 else pairs)
-    combos = pairs.groupBy("class_a", "class_b", "n_ab").agg(F.count(F.lit(1)).alias("pairs"))
+    pairs = settle(pairs.withColumns({"low": F.least("class_a", "class_b"), "high": F.greatest("class_a", "class_b")}).drop("class_a", "class_b"))
+    combos = pairs.groupBy(F.col("low").alias("class_a"), F.col("high").alias("class_b"), "n_ab").agg(F.count(F.lit(1)).alias("pairs"))
+    combos = combos.repartition(rows.sparkSession.sparkContext.defaultParallelism)  # few rows with much to do for each
     judged = settle(combos.mapInPandas(partial(_tails, null=null), "class_a int, class_b int, n_ab bigint, pairs bigint, expected double, log10_p double"))
     # Benjamini-Hochberg over steps of a hundredth of log10 p, down to 1e-320: at most 32,001 rows
     step = F.least(F.floor(-F.col("log10_p") * 100), F.lit(32_000))
@@ -128,6 +152,6 @@ def together(rows: DataFrame, item: str = "entity", records: str = "chunks", min
     raw = levels.select("step", (F.lit(float(possible)) * F.pow(F.lit(10.0), -F.col("step") / 100) / rank).alias("raw"))
     rates = raw.select("step", F.least(F.lit(1.0), F.min("raw").over(Window.orderBy("step"))).alias("q_value"))
     judged = judged.withColumn("step", step).join(F.broadcast(rates), "step").drop("pairs", "step")
-    return pairs.join(judged, ["class_a", "class_b", "n_ab"]).select(
+    return pairs.filter(F.col("n_ab") >= min_together).join(judged.withColumnsRenamed({"class_a": "low", "class_b": "high"}), ["low", "high", "n_ab"]).select(
         "a", "b", "n_a", "n_b", "n_ab", "n_records", "lift", "expected", (-F.col("log10_p")).alias("surprise"), "q_value"
     )

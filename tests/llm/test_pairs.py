@@ -58,6 +58,28 @@ def test_null_honours_degrees():
     assert np.allclose((p * items["count"].to_numpy()[:, None]).sum(axis=0), records["degree"], rtol=1e-5)
 
 
+def test_null_with_certain_links():
+    import pandas as pd
+
+    # of 5 items one is in all 6 records; one record has all items
+    items = pd.DataFrame({"cls": [2, 6], "degree": [2.0, 6.0], "count": [4, 1]})
+    records = pd.DataFrame({"cls": [2, 5, 1], "degree": [2.0, 5.0, 1.0], "count": [4, 1, 1]})
+    null = together.fit_null(items, records)
+    x = np.array([null["x"][c] for c in (2, 6)])
+    p = np.outer(x, null["y"]) / (1 + np.outer(x, null["y"]))
+    assert np.allclose((p * null["count"]).sum(axis=1), items["degree"], rtol=1e-3)
+    with pytest.raises(ArithmeticError):
+        together.fit_null(pd.DataFrame({"cls": [1, 3, 9], "degree": [1.0, 3.0, 9.0], "count": [30, 20, 4]}), pd.DataFrame({"cls": [2, 6], "degree": [2.0, 6.0], "count": [30, 11]}), rounds=1, slack=1e-9)
+
+
+def test_null_honours_record_sizes(spark):
+    """Where some records hold most items, more meetings are chance than counts alone would say."""
+    rows = [("x", [f"b{i}" for i in range(4)] + ["s9"]), ("y", [f"b{i}" for i in range(4)] + ["s8"])]
+    rows += [(f"f{k}", [f"b{i}" for i in range(12)]) for k in range(60)] + [(f"g{k}", [f"s{k % 40}"]) for k in range(40)]
+    r = together.together(nodes(spark, rows)).filter("a = 'x' and b = 'y'").first()
+    assert r["expected"] > 1.5 * r["n_a"] * r["n_b"] / r["n_records"] and r["surprise"] < 2
+
+
 def test_together_against_brute_force(spark):
     rng = random.Random(3)
     rows = [(f"E{i % 17} ", [f"c{rng.randrange(40)}" for _ in range(6)]) for i in range(120)] + [("e1", [None, "c1"]), (None, ["c1"]), ("alone", ["c99"])]
@@ -73,8 +95,10 @@ def test_together_against_brute_force(spark):
     ordered = sorted(got, key=lambda r: -r["surprise"])
     assert all(x["q_value"] <= y["q_value"] + 1e-9 for x, y in zip(ordered, ordered[1:]))
     n = len({c for _, c in links})
-    cut = together.together(nodes(spark, rows), min_together=3, min_lift=1.2).collect()
-    assert {(r["a"], r["b"]) for r in cut} == {k for k, v in want.items() if v >= 3 and v * n >= 1.2 * len(of[k[0]]) * len(of[k[1]])}
+    cut = together.together(nodes(spark, rows), min_together=3).collect()
+    assert {(r["a"], r["b"]) for r in cut} == {k for k, v in want.items() if v >= 3}
+    whole = {(r["a"], r["b"]): r for r in got}
+    assert all(abs(r["q_value"] - whole[r["a"], r["b"]]["q_value"]) < 1e-12 and r["n_records"] == n for r in cut)
     assert together.together(nodes(spark, rows).limit(0)).count() == 0
 
 

@@ -286,12 +286,31 @@ def test_mix_meets_targets(spark):
     _, more = mix.mix(docs, goals, total=60_000.0)
     more = {r["source"]: r for r in more.collect()}
     assert more["tiny"]["exponent"] > 0 and all(r["tokens_used"] <= r["max_repeats"] * r["tokens_available"] for r in more.values())
+    _, scarce = mix.mix(docs, goals, scarce=0.2)
+    scarce = {r["source"]: r for r in scarce.collect()}
+    assert scarce["tiny"]["exponent"] > 0.5 and scarce["tiny"]["tokens_used"] == 10 * scarce["tiny"]["tokens_available"] and scarce["tiny"]["tokens_unused"] == 0
+    assert sum(r["tokens_used"] for r in scarce.values()) > 2 * sum(r["tokens_used"] for r in shares.values())
+    assert abs(scarce["big"]["share"] / scarce["mid"]["share"] - 5 / 3) < 0.05
+    blocks = mix.realise(*(lambda m: (m[0], m[1], mix.budgets(m[1], 5_000.0)[0]))(mix.wanted_sources(mix.sized(docs, "doc_id", "text", "source", tokens.VOCABULARY), goals)), block_tokens=8)
+    assert abs(blocks.selectExpr("sum(tokens * times)").first()[0] - 5_000) < 200
     alone = {r["source"]: r for r in mix.temperature_mix(docs, goals).collect()}
     assert alone["big"]["tokens_used"] > 0 and alone["off"]["tokens_used"] == 0
     empty, zero = mix.mix(docs.limit(0), goals)
     assert empty.count() == 0 and all(r["share"] == 0 for r in zero.collect())
 
 
+def test_budgets_respect_limits():
+    rng = random.Random(8)
+    for _ in range(300):
+        sources = [mix.Source(str(i), rng.choice((0, rng.random())), rng.randrange(0, 6), rng.choice((0, rng.randrange(1, 10**6)))) for i in range(rng.randrange(1, 9))]
+        held = sum(s.repeats * s.tokens for s in sources if s.target > 0)
+        for total in (None, 0.0, 0.3 * held, 0.9 * held, 2.0 * held):
+            wanted, exponent = mix.budgets(sources, total)
+            assert all(-1e-6 <= w <= s.repeats * s.tokens * (1 + 1e-6) for w, s in zip(wanted, sources)) and exponent >= 0
+            if total is not None:
+                assert wanted.sum() == pytest.approx(min(total, held), rel=1e-3, abs=1e-6)
+
+
 def test_exponents():
     shares = np.array([0.7, 0.2, 0.1])
     for wanted in (0.9, 1.0, 0.5):
