@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestrata.functions.text import strip
+from lodestrata.operators.pairs import meetings, sharing
 
 BLOCK = 256
 
@@ -32,15 +33,8 @@ def count_pairs(links: DataFrame, item: str = "entity", record: str = "chunk", b
     task gets more than the pairs of two blocks of one record at a time.
     """
     links = links.select(F.col(item).alias("item"), F.col(record).alias("record"))
-    sizes = links.groupBy("record").agg(F.ceil(F.count("item") / F.lit(block)).alias("blocks")).filter("blocks > 1")
-    blocks = F.coalesce(F.col("blocks"), F.lit(1))
-    placed = links.join(sizes, "record", "left").withColumn("own", F.pmod(F.xxhash64("item"), blocks).cast("int"))
-    spread = placed.select("record", "item", "own", F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))).alias("other"))
-    spread = spread.select("record", "item", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    left = spread.filter(F.col("own") == F.col("i")).select("record", "i", "j", F.col("item").alias("x"))
-    right = spread.filter(F.col("own") == F.col("j")).select("record", "i", "j", F.col("item").alias("y"))
-    met = left.join(right, ["record", "i", "j"]).filter((F.col("i") < F.col("j")) | (F.col("x") < F.col("y")))
-    return met.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    met = meetings(sharing(links, "record"), "record", "item", block)
+    return met.groupBy(F.least("item_p", "item_q").alias("a"), F.greatest("item_p", "item_q").alias("b")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def edges(links: DataFrame) -> DataFrame:
