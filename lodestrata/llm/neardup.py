@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodestrata.operators.pairs import meetings, sharing
 from lodestrata.session import settle
 
 #: x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1 generates the binary Golay code (23, 12, 7). Fixed value.
@@ -17,13 +18,12 @@ GENERATOR = 0b110001110101
 BITS = 23
 #: ASCII letters and digits as they are in lower case, all else a blank.
 PLAIN = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or 48 <= c <= 57 else 32 for c in range(256))
-BANDS = 14
-#: Of the low similarity and one guard: at 0.6 itself, 12 bands find 95.3 % of all pairs, 32 find 99.97 %.
-LOW_BANDS = 32
+#: The share of the pairs at the threshold itself that the bands may miss.
+MISSED = 3e-4
+#: Random texts that a text may meet in mean, all bands together, before one more guard is taken.
+RANDOM_MET = 64
 #: So many deviations below what a pair at the threshold has in mean, sketches still agree enough: one such pair in 12,000 is lost.
 DEVIATIONS = 4
-#: Up to this many wanted texts are sent to all executors (under 10 MB of digests); more are joined by a shuffle.
-BROADCAST_ROWS = 200_000
 
 
 def _syndrome(words: np.ndarray) -> np.ndarray:
@@ -140,29 +140,56 @@ def shingle_hashes(words: list[bytes], width: int, known: dict) -> np.ndarray:
     return np.unique(out)
 
 
+def band_chance(similarity: float, guards: int) -> float:
+    """How likely a band finds a pair: all guards agree, and its two fuzzy hashes agree or differ in few enough bits."""
+    return similarity**guards * (similarity**2 + 0.06 * similarity * (1 - similarity))
+
+
+def bands_for(similarity: float, guards: int) -> int:
+    """The bands with which no more than MISSED of the pairs at the threshold are missed."""
+    return int(np.ceil(np.log(MISSED) / np.log1p(-min(band_chance(similarity, guards), 1 - 1e-9))))
+
+
+def guards_for(texts: int, similarity: float) -> int:
+    """The least guards with which a text meets no more than RANDOM_MET random ones: a band has 4096 ** guards keys for the
+    guards, and two random segments share one of their six codeword indices of 4096 with a chance of 0.7 %. Fewer bands are
+    needed with fewer guards; the pairs found are as many."""
+    guards = 1
+    while texts * bands_for(similarity, guards) * 0.007 / 4096**guards > RANDOM_MET:
+        guards += 1
+    return guards
+
+
 def _sketch(batches, width: int, min_words: int, hashes_each: int):
     known = WordHashes()
     for batch in batches:
-        rows = []
+        digests, kinds, mins = [], [], []
         for digest, text in zip(batch["digest"], batch["text"]):
             words = words_of(text)
             if len(words) < max(min_words, width):
                 continue
             hashes = shingle_hashes(words, width, known)
-            rows.append((digest, len(hashes), fingerprint(hashes, hashes_each).tobytes()))
-        yield pd.DataFrame(rows, columns=["digest", "kinds", "mins"])
+            digests.append(digest)
+            kinds.append(len(hashes))
+            mins.append(fingerprint(hashes, hashes_each))
+        sketch = sketch_of(np.array(mins)) if mins else np.zeros((0, 2), np.int64)
+        yield pd.DataFrame({"digest": digests, "kinds": kinds, "one": sketch[:, 0], "two": sketch[:, 1], "mins": [m.tobytes() for m in mins]})
 
 
-def _keys(batches, guards: int):
+def _keys(batches, bands: int, guards: int):
     for batch in batches:
         if len(batch):
-            mins = np.frombuffer(b"".join(batch["mins"]), np.uint16).reshape(len(batch), -1)
-            sketch = sketch_of(mins)
-            mins = mins[:, : mins.shape[1] // (guards + 2) * (guards + 2)]
+            mins = np.frombuffer(b"".join(batch["mins"]), np.uint16).reshape(len(batch), -1)[:, : bands * (guards + 2)]
             for start in range(0, len(batch), 1000):
                 keys, at = keys_of(mins[start : start + 1000], guards)
-                at += start
-                yield pd.DataFrame({"key": keys, "doc": batch["doc"].to_numpy()[at], "kinds": batch["kinds"].to_numpy()[at], "one": sketch[at, 0], "two": sketch[at, 1]})
+                yield pd.DataFrame({"key": keys, "doc": batch["doc"].to_numpy()[at + start]})
+
+
+def _hashes(batches, width: int):
+    known = WordHashes()
+    for batch in batches:
+        found = [shingle_hashes(words, width, known).view(np.int64) if len(words) >= width else np.zeros(0, np.int64) for words in map(words_of, batch["text"])]
+        yield pd.DataFrame({"digest": batch["digest"], "hashes": found})
 
 
 def agreeing(a, b):
@@ -173,20 +200,6 @@ def agreeing(a, b):
     return 16 - F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
 
 
-def jaccard(width: int):
-    """A column function: the share of the shingles in either text that are in both."""
-
-    def score(a: pd.Series, b: pd.Series) -> pd.Series:
-        out = []
-        for x, y in zip(a, b):
-            one, two = shingles(x, width), shingles(y, width)
-            both = len(one & two)
-            out.append(both / max(1, len(one) + len(two) - both))
-        return pd.Series(out, dtype="float64")
-
-    return F.pandas_udf(score, T.DoubleType())
-
-
 def texts_of(rows: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     """Membership ``id, digest``, and ``digest, text`` of each row; rows without key or text are left out."""
     named = rows.select(F.col(key).alias("id"), F.col(text).alias("text")).dropna()
@@ -194,53 +207,46 @@ def texts_of(rows: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame
     return named.select("id", "digest").distinct(), named.select("digest", "text")
 
 
-def only(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
-    """The rows with a wanted key; ``wanted`` has each key once and is sent around only if it is known to be small."""
-    small = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return rows.join(F.broadcast(wanted) if small else wanted, key, "left_semi")
-
-
 def sketches(texts: DataFrame, width: int, min_words: int, bands: int, guards: int) -> DataFrame:
-    """``digest, kinds, mins, doc`` of each distinct text of enough words, settled: its shingles' number and minimum hashes."""
+    """``digest, kinds, one, two, mins, doc`` of each distinct text of enough words, settled: its shingles' number, the bits by which
+    candidates are compared, its minimum hashes, and a number of its own."""
     work = partial(_sketch, width=width, min_words=min_words, hashes_each=max(32, bands * (guards + 2)))
-    made = texts.mapInPandas(work, "digest binary, kinds int, mins binary").groupBy("digest").agg(F.first("kinds").alias("kinds"), F.first("mins").alias("mins"))
-    return settle(made.withColumn("doc", F.xxhash64("digest")))
+    made = texts.mapInPandas(work, "digest binary, kinds int, one bigint, two bigint, mins binary")
+    once = made.groupBy("digest").agg(*(F.first(c).alias(c) for c in ("kinds", "one", "two", "mins")))
+    return settle(once.withColumn("doc", F.monotonically_increasing_id()))
 
 
-def near_pairs(texts: DataFrame, width: int = 5, similarity: float = 0.8, min_words: int = 0, bands: int = BANDS, guards: int = 2, made: DataFrame | None = None) -> DataFrame:
-    """``x, y, similarity`` (x < y) of the digests of different texts alike enough.
+def near_pairs(texts: DataFrame, made: DataFrame, width: int, similarity: float, bands: int, guards: int) -> DataFrame:
+    """``x, y, similarity`` (x < y) of the digests of different texts alike enough, by their ``sketches``.
 
-    Copies are put together by their digest before any key is made, so a copied text counts once. Candidates share a band key; they are
-    thinned by the sizes of their shingle sets, which is exact, and by how many of 32 minimum hashes agree in four bits, at ``DEVIATIONS``
-    below what a pair at the threshold has; the rest are verified on their whole texts. No bucket and no
-    number of partners is capped. A band finds a pair of similarity s with a chance of about s ** guards * (s ** 2 + 0.06 * s * (1 - s)), so a low
-    similarity wants few guards, while each guard more makes random candidates rarer by the share of shingles that random texts have in
-    common. Keys travel with a 64-bit name of the text; two texts of one name are both looked at.
+    Copies are put together by their digest before any key is made, so a copied text counts once. Candidates share a band key. Only keys and
+    numbers of texts travel to be compared; keys of one text end where they arrive, and the texts of a key meet in blocks, so a key
+    that a third of all texts have is no single task. The texts met are thinned by the sizes of their shingle sets, which is exact, and by how many of
+    32 minimum hashes agree in four bits, at ``DEVIATIONS`` below what a pair at the threshold has; the rest are verified on the 64-bit hashes of
+    all their shingles, taken once for each text. No bucket and no number of partners is capped.
     """
-    made = sketches(texts, width, min_words, bands, guards) if made is None else made
-    keyed = made.select("doc", "kinds", "mins").mapInPandas(partial(_keys, guards=guards), "key bigint, doc bigint, kinds int, one bigint, two bigint")
-    left, right = (keyed.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("doc", "kinds", "one", "two"))) for s in "pq")
+    keyed = made.select("doc", "mins").mapInPandas(partial(_keys, bands=bands, guards=guards), "key bigint, doc bigint")
+    met = meetings(sharing(keyed, "key"), "key", "doc").select(F.least("doc_p", "doc_q").alias("p"), F.greatest("doc_p", "doc_q").alias("q")).distinct()
+    one, two = (made.select(F.col("doc").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in ("digest", "kinds", "one", "two"))) for s in "pq")
     chance = similarity + (1 - similarity) / 16
-    met = left.join(right, "key").filter(
-        (F.col("doc_p") < F.col("doc_q"))
-        & (F.least("kinds_p", "kinds_q") >= F.lit(similarity) * F.greatest("kinds_p", "kinds_q"))
+    likely = met.join(one, "p").join(two, "q").filter(
+        (F.least("kinds_p", "kinds_q") >= F.lit(similarity) * F.greatest("kinds_p", "kinds_q"))
         & (agreeing(F.col("one_p"), F.col("one_q")) + agreeing(F.col("two_p"), F.col("two_q")) >= 32 * chance - DEVIATIONS * (32 * chance * (1 - chance)) ** 0.5)
     )
-    candidates = settle(met.select(F.col("doc_p").alias("p"), F.col("doc_q").alias("q")).distinct())
-    one, two = (made.select(F.col("doc").alias(d), F.col("digest").alias(f"digest_{d}")) for d in "pq")
-    named = candidates.join(one, "p").join(two, "q")
-    likely = settle(named.select(F.least("digest_p", "digest_q").alias("x"), F.greatest("digest_p", "digest_q").alias("y")))
+    likely = settle(likely.select(F.least("digest_p", "digest_q").alias("x"), F.greatest("digest_p", "digest_q").alias("y")))
     wanted = likely.select(F.col("x").alias("digest")).union(likely.select(F.col("y").alias("digest"))).distinct()
-    needed = only(texts, wanted, "digest").groupBy("digest").agg(F.first("text").alias("text"))
-    with_x = likely.join(needed.select(F.col("digest").alias("x"), F.col("text").alias("text_x")), "x")
-    whole = with_x.join(needed.select(F.col("digest").alias("y"), F.col("text").alias("text_y")), "y")
-    score = jaccard(width)("text_x", "text_y")
+    needed = texts.join(wanted, "digest", "left_semi").groupBy("digest").agg(F.first("text").alias("text"))
+    hashed = settle(needed.mapInPandas(partial(_hashes, width=width), "digest binary, hashes array<bigint>"))
+    x, y = (hashed.select(F.col("digest").alias(s), F.col("hashes").alias(f"hashes_{s}")) for s in "xy")
+    whole = likely.join(x, "x").join(y, "y").withColumn("both", F.size(F.array_intersect("hashes_x", "hashes_y")))
+    score = F.col("both") / (F.size("hashes_x") + F.size("hashes_y") - F.col("both"))
     return whole.select("x", "y", score.alias("similarity")).filter(F.col("similarity") >= similarity)
 
 
-def components(links: DataFrame, rounds: int = 60) -> DataFrame:
+def components(links: DataFrame, rounds: int = 200) -> DataFrame:
     """``node, class`` of the connected components of ``x, y`` by alternating large and small stars; the class is the
-    least node. Every round is one aggregation of the links, settled in the shared folder."""
+    least node. Every round is one aggregation of the links, settled in the shared folder. The rounds needed grow with the logarithm of the
+    links; if ``rounds`` are not enough it fails rather than give part of the result."""
     edges = settle(links.select("x", "y").distinct())
     for _ in range(rounds):
         both = edges.select("x", "y").union(edges.select(F.col("y"), F.col("x")))
@@ -255,20 +261,29 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         edges = small
         if not changed:
             break
+    else:
+        raise ArithmeticError(f"components not settled after {rounds} rounds")
     roots = edges.select(F.col("y").alias("node"), F.col("y").alias("class"))
     return edges.select(F.col("x").alias("node"), F.col("y").alias("class")).union(roots).distinct()
 
 
-def near_duplicate_groups(rows: DataFrame, key: str = "id", text: str = "document", width: int = 5, similarity: float = 0.8, min_words: int = 0, bands: int = BANDS, guards: int = 2) -> DataFrame:
+def _plan(members: DataFrame, similarity: float, guards: int | None) -> tuple[int, int]:
+    """Bands and guards for the texts that there are."""
+    guards = guards_for(members.agg(F.count_distinct("digest")).first()[0], similarity) if guards is None else guards
+    return bands_for(similarity, guards), guards
+
+
+def near_duplicate_groups(rows: DataFrame, key: str = "id", text: str = "document", width: int = 5, similarity: float = 0.8, min_words: int = 0, guards: int | None = None) -> DataFrame:
     """One row a key: ``id, class, copies, links``.
 
     class is the least id of the group of texts linked by near-duplication, copies the ids with the very same text
     (itself included), links the number of different texts that are near. Texts too short for a shingle are near only to copies of
-    theirs. Null keys and texts are left out; an empty table gives no rows.
+    theirs. ``guards`` follow from the number of texts unless given. Null keys and texts are left out; an empty table gives no rows.
     """
     members, texts = texts_of(rows, key, text)
     members = settle(members)
-    found = settle(near_pairs(texts, width, similarity, min_words, bands, guards))
+    bands, guards = _plan(members, similarity, guards)
+    found = settle(near_pairs(texts, sketches(texts, width, min_words, bands, guards), width, similarity, bands, guards))
     ends = found.select(F.col("x").alias("digest")).union(found.select(F.col("y").alias("digest")))
     degree = ends.groupBy("digest").agg(F.count(F.lit(1)).alias("links"))
     roots = components(found).select(F.col("node").alias("digest"), F.col("class").alias("root"))
@@ -278,14 +293,15 @@ def near_duplicate_groups(rows: DataFrame, key: str = "id", text: str = "documen
     return members.join(kinds.join(first, "root").select("digest", "class", "copies", F.coalesce("links", F.lit(0)).alias("links")), "digest").drop("digest")
 
 
-def near_duplicate_ids(rows: DataFrame, key: str = "id", text: str = "document", width: int = 3, similarity: float = 0.6, min_words: int = 40, bands: int = LOW_BANDS, guards: int = 1) -> DataFrame:
+def near_duplicate_ids(rows: DataFrame, key: str = "id", text: str = "document", width: int = 3, similarity: float = 0.6, min_words: int = 40, guards: int | None = None) -> DataFrame:
     """``id_a, id_b`` (id_a < id_b): all keys of near texts and of equal texts of at least ``min_words`` words."""
     members, texts = texts_of(rows, key, text)
     members = settle(members)
+    bands, guards = _plan(members, similarity, guards)
     made = sketches(texts, width, min_words, bands, guards)
-    same = members.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest")
-    copied = made.select("digest").join(same, "digest", "left_semi").select(F.col("digest").alias("x"), F.col("digest").alias("y"))
-    pairs = near_pairs(texts, width, similarity, min_words, bands, guards, made).select("x", "y").union(copied)
+    copies = sharing(members.join(made.select("digest"), "digest", "left_semi"), "digest")
+    same = meetings(copies, "digest", "id").select(F.col("id_p").alias("id_x"), F.col("id_q").alias("id_y"))
+    pairs = near_pairs(texts, made, width, similarity, bands, guards).select("x", "y")
     one, two = (members.select(F.col("digest").alias(d), F.col("id").alias(i)) for d, i in (("x", "id_x"), ("y", "id_y")))
-    met = pairs.join(one, "x").join(two, "y").filter((F.col("x") != F.col("y")) | (F.col("id_x") < F.col("id_y")))
+    met = pairs.join(one, "x").join(two, "y").select("id_x", "id_y").union(same)
     return met.select(F.least("id_x", "id_y").alias("id_a"), F.greatest("id_x", "id_y").alias("id_b")).filter("id_a != id_b").distinct()

@@ -147,6 +147,23 @@ def test_near_duplicates_against_all_pairs(spark, copies):
     assert neardup.near_duplicate_ids(df.limit(0)).count() == 0
 
 
+def test_guards_change_no_pair(spark, copies):
+    df = spark.createDataFrame([(*r, "x") for r in copies], "id string, document string, text string")
+    one, two = ({tuple(r) for r in neardup.near_duplicate_ids(df, guards=g).collect()} for g in (1, 2))
+    assert one == two
+    for similarity in (0.6, 0.8):
+        sizes = [neardup.guards_for(n, similarity) for n in (0, 10**5, 10**7, 10**9, 10**12)]
+        assert sizes == sorted(sizes) and sizes[0] == 1 and sizes[-1] > 1
+        for g in (1, 2, 3):
+            assert (1 - neardup.band_chance(similarity, g)) ** neardup.bands_for(similarity, g) <= neardup.MISSED
+
+
+def test_components_fail_rather_than_stop(spark):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(300)], "x int, y int")
+    with pytest.raises(ArithmeticError):
+        neardup.components(chain, rounds=1)
+
+
 def test_components(spark):
     rng = random.Random(2)
     pairs = [(a, b) for a, b in ((rng.randrange(200), rng.randrange(200)) for _ in range(150)) if a != b] + [(300 + i, 301 + i) for i in range(40)]
