@@ -6,7 +6,7 @@ from functools import lru_cache, partial
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +24,8 @@ MISSED = 3e-4
 RANDOM_MET = 64
 #: So many deviations below what a pair at the threshold has in mean, sketches still agree enough: one such pair in 12,000 is lost.
 DEVIATIONS = 4
+#: Texts of one key that are compared where they arrive; more go on in blocks of as many.
+MEETING = 256
 
 
 def _syndrome(words: np.ndarray) -> np.ndarray:
@@ -62,6 +64,17 @@ def near_indices(words: np.ndarray) -> np.ndarray:
     return np.sort(decode(around), axis=1)
 
 
+def six_indices(words: np.ndarray) -> np.ndarray:
+    """near_indices without repetition: six columns, all equal where a word has one index."""
+    near = near_indices(words)
+    first = np.ones(near.shape, bool)
+    first[:, 1:] = near[:, 1:] != near[:, :-1]
+    out = np.repeat(near[:, :1], 6, axis=1)
+    row, at = np.nonzero(first)
+    out[row, first.cumsum(axis=1)[row, at] - 1] = near[row, at]
+    return out
+
+
 def words_of(text: str) -> list[bytes]:
     """Maximal runs of ASCII letters and digits of the lower-cased text."""
     return (text if text.isascii() else text.lower()).encode("utf-8", "replace").translate(PLAIN).split()
@@ -100,24 +113,21 @@ def sketch_of(mins: np.ndarray) -> np.ndarray:
     return (top << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(axis=2, dtype=np.uint64).view(np.int64)
 
 
-def keys_of(mins: np.ndarray, guards: int) -> tuple[np.ndarray, np.ndarray]:
-    """The band keys of the fingerprints in the rows of ``mins``, and for each key the row it is of.
+def segments_of(mins: np.ndarray, guards: int) -> tuple[np.ndarray, np.ndarray]:
+    """The guards and the six codeword indices of each band of the fingerprints in the rows of ``mins``.
 
     A band has a guard of ``guards`` minimum hashes (12 bits each) that counts as it is, and a fuzzy 23-bit segment of two more (12
-    and 11 bits) that is decoded to its nearby codeword indices. So two records share a key of the band if their
+    and 11 bits) that is decoded to its nearby codeword indices. So two records share a key of the band, a guard with an index, if their
     guards agree and their fuzzy segments differ in at most two bits. By the pigeonhole principle some band does
     unless every band has an error in its guard or three in its fuzzy segment.
     """
     bands = mins.shape[1] // (guards + 2)
     low = mins.astype(np.int64).reshape(len(mins), bands, guards + 2) & 0xFFF
-    index = near_indices((low[:, :, guards] << 11 | low[:, :, guards + 1] & 0x7FF).ravel())
-    base = np.broadcast_to(np.arange(bands), (len(mins), bands)).astype(np.int64)
+    index = six_indices((low[:, :, guards] << 11 | low[:, :, guards + 1] & 0x7FF).ravel())
+    guard = np.broadcast_to(np.arange(bands), (len(mins), bands)).astype(np.int64)
     for k in range(guards):
-        base = base << 12 | low[:, :, k]
-    first = np.ones(index.shape, bool)
-    first[:, 1:] = index[:, 1:] != index[:, :-1]
-    at, _ = np.nonzero(first)
-    return base.ravel()[at] << 12 | index[first], at // bands
+        guard = guard << 12 | low[:, :, k]
+    return guard.ravel(), index
 
 
 class WordHashes(dict):
@@ -178,11 +188,15 @@ def _sketch(batches, width: int, min_words: int, hashes_each: int):
 
 def _keys(batches, bands: int, guards: int):
     for batch in batches:
-        if len(batch):
-            mins = np.frombuffer(b"".join(batch["mins"]), np.uint16).reshape(len(batch), -1)[:, : bands * (guards + 2)]
-            for start in range(0, len(batch), 1000):
-                keys, at = keys_of(mins[start : start + 1000], guards)
-                yield pd.DataFrame({"key": keys, "doc": batch["doc"].to_numpy()[at + start]})
+        if not len(batch):
+            continue
+        mins = np.frombuffer(b"".join(batch["mins"]), np.uint16).reshape(len(batch), -1)[:, : bands * (guards + 2)]
+        for start in range(0, len(batch), 1000):
+            guard, index = segments_of(mins[start : start + 1000], guards)
+            rows = batch.iloc[start : start + 1000]
+            each = {c: np.repeat(rows[c].to_numpy(), bands) for c in ("doc", "kinds", "one", "two")}
+            five = sum(index[:, k] << 12 * k for k in range(5))
+            yield pd.DataFrame({"guard": guard, "five": five, "sixth": each.pop("kinds").astype(np.int64) << 12 | index[:, 5], **each})
 
 
 def _hashes(batches, width: int):
@@ -200,6 +214,13 @@ def agreeing(a, b):
     return 16 - F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
 
 
+def _likely(p, q, similarity: float):
+    """Whether two texts may be alike enough by the numbers of their shingles, which is exact, and by their sketches."""
+    chance = similarity + (1 - similarity) / 16
+    agree = agreeing(p["one"], q["one"]) + agreeing(p["two"], q["two"])
+    return (F.least(p["kinds"], q["kinds"]) >= F.lit(similarity) * F.greatest(p["kinds"], q["kinds"])) & (agree >= 32 * chance - DEVIATIONS * (32 * chance * (1 - chance)) ** 0.5)
+
+
 def texts_of(rows: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     """Membership ``id, digest``, and ``digest, text`` of each row; rows without key or text are left out."""
     named = rows.select(F.col(key).alias("id"), F.col(text).alias("text")).dropna()
@@ -219,21 +240,37 @@ def sketches(texts: DataFrame, width: int, min_words: int, bands: int, guards: i
 def near_pairs(texts: DataFrame, made: DataFrame, width: int, similarity: float, bands: int, guards: int) -> DataFrame:
     """``x, y, similarity`` (x < y) of the digests of different texts alike enough, by their ``sketches``.
 
-    Copies are put together by their digest before any key is made, so a copied text counts once. Candidates share a band key. Only keys and
-    numbers of texts travel to be compared; keys of one text end where they arrive, and the texts of a key meet in blocks, so a key
-    that a third of all texts have is no single task. The texts met are thinned by the sizes of their shingle sets, which is exact, and by how many of
-    32 minimum hashes agree in four bits, at ``DEVIATIONS`` below what a pair at the threshold has; the rest are verified on the 64-bit hashes of
-    all their shingles, taken once for each text. No bucket and no number of partners is capped.
+    Copies are put together by their digest before any key is made, so a copied text counts once. Candidates share a band key. A band
+    travels as one row; its keys are made where it arrives, those of one text end there, and up to MEETING texts of a key are compared at
+    once. Texts of a larger key go on to meet in blocks, so a key that a third of all texts have is compared by many tasks. The texts met are thinned by the sizes of
+    their shingle sets, which is exact, and by how many of 32 minimum hashes agree in four bits, at ``DEVIATIONS`` below what a pair at the threshold has; the
+    rest are verified on the 64-bit hashes of all their shingles, taken once for each text. No bucket and no number of partners is capped.
     """
-    keyed = made.select("doc", "mins").mapInPandas(partial(_keys, bands=bands, guards=guards), "key bigint, doc bigint")
-    met = meetings(sharing(keyed, "key"), "key", "doc").select(F.least("doc_p", "doc_q").alias("p"), F.greatest("doc_p", "doc_q").alias("q")).distinct()
-    one, two = (made.select(F.col("doc").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in ("digest", "kinds", "one", "two"))) for s in "pq")
-    chance = similarity + (1 - similarity) / 16
-    likely = met.join(one, "p").join(two, "q").filter(
-        (F.least("kinds_p", "kinds_q") >= F.lit(similarity) * F.greatest("kinds_p", "kinds_q"))
-        & (agreeing(F.col("one_p"), F.col("one_q")) + agreeing(F.col("two_p"), F.col("two_q")) >= 32 * chance - DEVIATIONS * (32 * chance * (1 - chance)) ** 0.5)
+    shape = "guard bigint, five bigint, sixth bigint, doc bigint, one bigint, two bigint"
+    keyed = made.select("doc", "kinds", "one", "two", "mins").mapInPandas(partial(_keys, bands=bands, guards=guards), shape)
+    index = F.array(*[F.shiftright("five", 12 * k).bitwiseAND(F.lit(4095)) for k in range(5)], F.col("sixth").bitwiseAND(F.lit(4095)))
+    text = F.struct("doc", F.shiftright("sixth", 12).alias("kinds"), "one", "two")
+    # the shuffle is by guard alone, a row for each band; the six keys of a band are made where they meet
+    each = keyed.repartition("guard").select("guard", F.explode(F.array_distinct(index)).alias("at"), text.alias("text"))
+    counted = each.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("guard", "at"))).filter("n > 1")
+    lone = F.when(F.col("n") > MEETING, F.col("text.doc"))
+    lists = counted.groupBy("guard", "at", "n", lone.alias("lone")).agg(F.collect_list("text").alias("texts"))  # at most MEETING texts
+    ones = lists.select("guard", "at", "n", "texts", F.posexplode("texts").alias("pos", "p"))
+    pairs = ones.select("guard", "at", "n", "p", F.explode_outer(F.slice("texts", F.col("pos") + 2, F.lit(MEETING))).alias("q"))
+    likely_pair = partial(_likely, similarity=similarity)
+    hot = F.col("n") > MEETING
+    met = settle(
+        pairs.filter(hot | F.coalesce(likely_pair(F.col("p"), F.col("q")), F.lit(False)))
+        .select(F.col("p.doc").alias("p"), F.col("q.doc").alias("q"), F.when(hot, F.struct(F.struct("guard", "at").alias("key"), "n", F.col("p.doc").alias("doc"), F.col("p").alias("text"))).alias("hot"))
+        .distinct()
     )
-    likely = settle(likely.select(F.least("digest_p", "digest_q").alias("x"), F.greatest("digest_p", "digest_q").alias("y")))
+    crowd = meetings(met.filter("hot is not null").select("hot.*"), "key", "doc", MEETING)
+    crowd = crowd.filter(likely_pair(F.col("text_p"), F.col("text_q"))).select(F.col("doc_p").alias("p"), F.col("doc_q").alias("q"))
+    met = met.filter("hot is null").select("p", "q").union(crowd)
+    met = met.select(F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q")).distinct()
+    one, two = (made.select(F.col("doc").alias(s), F.col("digest").alias(f"digest_{s}")) for s in "pq")
+    named = met.join(one, "p").join(two, "q")
+    likely = settle(named.select(F.least("digest_p", "digest_q").alias("x"), F.greatest("digest_p", "digest_q").alias("y")))
     wanted = likely.select(F.col("x").alias("digest")).union(likely.select(F.col("y").alias("digest"))).distinct()
     needed = texts.join(wanted, "digest", "left_semi").groupBy("digest").agg(F.first("text").alias("text"))
     hashed = settle(needed.mapInPandas(partial(_hashes, width=width), "digest binary, hashes array<bigint>"))

@@ -107,6 +107,7 @@ def test_golay_code_is_perfect():
     words = rng.integers(0, 1 << 23, 500)
     index = neardup.near_indices(words)
     assert {len(set(r)) for r in index.tolist()} == {1, 6}
+    assert [set(r) for r in index.tolist()] == [set(r) for r in neardup.six_indices(words).tolist()]
     for flips in (1, 2):
         other = words.copy()
         for i in range(len(other)):
@@ -158,6 +159,16 @@ def test_guards_change_no_pair(spark, copies):
             assert (1 - neardup.band_chance(similarity, g)) ** neardup.bands_for(similarity, g) <= neardup.MISSED
 
 
+def test_crowded_keys_lose_no_pair(spark, copies, monkeypatch):
+    rng = random.Random(13)
+    base = [f"w{rng.randrange(3000)}" for _ in range(80)]
+    rows = [(*r, "x") for r in copies] + [(f"crowd{k:02}", " ".join(edited(rng, base, 0.02)), "x") for k in range(40)]
+    df = spark.createDataFrame(rows, "id string, document string, text string")
+    want = {tuple(r) for r in neardup.near_duplicate_ids(df).collect()}
+    monkeypatch.setattr(neardup, "MEETING", 4)
+    assert {tuple(r) for r in neardup.near_duplicate_ids(df).collect()} == want and len(want) > 40 * 39 / 2
+
+
 def test_components_fail_rather_than_stop(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(300)], "x int, y int")
     with pytest.raises(ArithmeticError):
