@@ -6,7 +6,7 @@ from functools import lru_cache, partial
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,7 +25,11 @@ RANDOM_MET = 64
 #: So many deviations below what a pair at the threshold has in mean, sketches still agree enough: one such pair in 12,000 is lost.
 DEVIATIONS = 4
 #: Texts of one key that are compared where they arrive; more go on in blocks of as many.
-MEETING = 256
+MEETING = 1024
+#: Rows of one guard that a task holds at most.
+CROWD = 200_000
+#: Minimum hashes by which candidates are compared, and the columns that hold four bits of each.
+HASHES, SKETCH = 96, ["one", "two", "three", "four", "five", "six"]
 
 
 def _syndrome(words: np.ndarray) -> np.ndarray:
@@ -108,8 +112,8 @@ def fingerprint(hashes: np.ndarray, n: int) -> np.ndarray:
 
 
 def sketch_of(mins: np.ndarray) -> np.ndarray:
-    """Two columns of 64 bits: the top four bits of the first 32 minimum hashes, which the segments leave out."""
-    top = (mins[:, :32] >> 12).astype(np.uint64).reshape(len(mins), 2, 16)
+    """Columns of 64 bits: the top four bits of the first 96 minimum hashes, which the segments leave out, 16 to a column."""
+    top = (mins[:, :HASHES] >> 12).astype(np.uint64).reshape(len(mins), -1, 16)
     return (top << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(axis=2, dtype=np.uint64).view(np.int64)
 
 
@@ -170,6 +174,14 @@ def guards_for(texts: int, similarity: float) -> int:
     return guards
 
 
+def agreeing_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """agreeing, of arrays."""
+    x = (a ^ b).view(np.uint64)
+    x = x | x >> np.uint64(1)
+    x = x | x >> np.uint64(2)
+    return 16 - np.bitwise_count(x & np.uint64(0x1111111111111111)).astype(np.int64)
+
+
 def _sketch(batches, width: int, min_words: int, hashes_each: int):
     known = WordHashes()
     for batch in batches:
@@ -182,8 +194,8 @@ def _sketch(batches, width: int, min_words: int, hashes_each: int):
             digests.append(digest)
             kinds.append(len(hashes))
             mins.append(fingerprint(hashes, hashes_each))
-        sketch = sketch_of(np.array(mins)) if mins else np.zeros((0, 2), np.int64)
-        yield pd.DataFrame({"digest": digests, "kinds": kinds, "one": sketch[:, 0], "two": sketch[:, 1], "mins": [m.tobytes() for m in mins]})
+        sketch = sketch_of(np.array(mins)) if mins else np.zeros((0, len(SKETCH)), np.int64)
+        yield pd.DataFrame({"digest": digests, "kinds": kinds, **dict(zip(SKETCH, sketch.T)), "mins": [m.tobytes() for m in mins]})
 
 
 def _keys(batches, bands: int, guards: int):
@@ -214,11 +226,82 @@ def agreeing(a, b):
     return 16 - F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
 
 
-def _likely(p, q, similarity: float):
-    """Whether two texts may be alike enough by the numbers of their shingles, which is exact, and by their sketches."""
+def least_agreeing(similarity: float, hashes: int) -> float:
+    """How many of so many minimum hashes agree in four bits, at DEVIATIONS below what a pair at the threshold has in mean."""
     chance = similarity + (1 - similarity) / 16
-    agree = agreeing(p["one"], q["one"]) + agreeing(p["two"], q["two"])
-    return (F.least(p["kinds"], q["kinds"]) >= F.lit(similarity) * F.greatest(p["kinds"], q["kinds"])) & (agree >= 32 * chance - DEVIATIONS * (32 * chance * (1 - chance)) ** 0.5)
+    return hashes * chance - DEVIATIONS * (hashes * chance * (1 - chance)) ** 0.5
+
+
+def _likely(similarity: float, sketch: list[str]):
+    """Whether two texts may be alike enough by the numbers of their shingles, which is exact, and by their sketches."""
+    agree = sum((agreeing(F.col(f"{c}_p"), F.col(f"{c}_q")) for c in sketch[1:]), agreeing(F.col(f"{sketch[0]}_p"), F.col(f"{sketch[0]}_q")))
+    return (F.least("kinds_p", "kinds_q") >= F.lit(similarity) * F.greatest("kinds_p", "kinds_q")) & (agree >= least_agreeing(similarity, 16 * len(sketch)))
+
+
+def _meet(batches, similarity: float):
+    """``p, q`` of the texts that share a key and may be alike, from rows sorted by guard; ``p, key, kinds, one, two`` with a null q of texts whose
+    key is too crowded to be compared here. No more than a guard of CROWD rows is held."""
+    least, held, crowded = least_agreeing(similarity, 32), [], None
+    names = ["guard", "five", "sixth", "doc", "one", "two"]
+
+    def keys(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct keys of rows, sorted, and their rows."""
+        index = np.stack([*(rows[1] >> 12 * k & 4095 for k in range(5)), rows[2] & 4095])
+        fresh = np.ones(index.shape, bool)
+        fresh[1:] = index[1:] != index[:1]  # all equal, or all different
+        key, at = (rows[0] << 12 | index)[fresh], np.broadcast_to(np.arange(rows.shape[1]), index.shape)[fresh]
+        order = np.argsort(key, kind="stable")
+        return key[order], at[order]
+
+    def alone(rows: np.ndarray, key: np.ndarray, at: np.ndarray) -> pd.DataFrame:
+        return pd.DataFrame({"p": rows[3][at], "q": pd.array([None] * len(at), "Int64"), "key": key, "kinds": rows[2][at] >> 12, "one": rows[4][at], "two": rows[5][at]})
+
+    def compare(rows: np.ndarray):
+        key, at = keys(rows)
+        starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        run = np.diff(np.append(starts, len(key)))
+        end = np.repeat(starts + run, run)
+        many = np.repeat(run > MEETING, run)
+        if many.any():
+            yield alone(rows, key[many], at[many])
+        kinds = rows[2] >> 12
+        first = np.flatnonzero(~many & (end - np.arange(len(key)) > 1))
+        step, found = 0, []
+        while len(first):
+            step += 1
+            first = first[first + step < end[first]]
+            p, q = at[first], at[first + step]
+            close = np.minimum(kinds[p], kinds[q]) >= similarity * np.maximum(kinds[p], kinds[q])
+            p, q = p[close], q[close]
+            agree = sum(agreeing_bits(rows[c][p], rows[c][q]) for c in (4, 5))
+            p, q = p[agree >= least], q[agree >= least]
+            found.append(np.stack([np.minimum(rows[3][p], rows[3][q]), np.maximum(rows[3][p], rows[3][q])]))
+        pairs = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
+        nothing = {c: pd.array([None] * pairs.shape[1], "Int64") for c in ("key", "kinds", "one", "two")}
+        yield pd.DataFrame({"p": pairs[0], "q": pd.array(pairs[1], "Int64"), **nothing})
+
+    for batch in batches:
+        rows = batch[names].to_numpy(np.int64).T
+        if crowded is not None:
+            size = np.searchsorted(rows[0], crowded, "right")
+            if size:
+                yield alone(rows[:, :size], *keys(rows[:, :size]))
+            rows = rows[:, size:]
+        if not rows.shape[1]:
+            continue
+        crowded = None
+        held = np.concatenate([held, rows], axis=1) if len(held) else rows
+        last = np.searchsorted(held[0], held[0, -1], "left")  # the last guard may go on in the next batch
+        if last and last >= 20_000 or last and held.shape[1] - last > CROWD:
+            yield from compare(held[:, :last])
+            held = held[:, last:]
+            last = 0
+        if not last and held.shape[1] > CROWD:
+            crowded = held[0, -1]
+            yield alone(held, *keys(held))
+            held = []
+    if len(held):
+        yield from compare(held)
 
 
 def texts_of(rows: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
@@ -229,11 +312,11 @@ def texts_of(rows: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame
 
 
 def sketches(texts: DataFrame, width: int, min_words: int, bands: int, guards: int) -> DataFrame:
-    """``digest, kinds, one, two, mins, doc`` of each distinct text of enough words, settled: its shingles' number, the bits by which
+    """``digest, kinds, mins, doc`` and SKETCH of each distinct text of enough words, settled: its shingles' number, the bits by which
     candidates are compared, its minimum hashes, and a number of its own."""
-    work = partial(_sketch, width=width, min_words=min_words, hashes_each=max(32, bands * (guards + 2)))
-    made = texts.mapInPandas(work, "digest binary, kinds int, one bigint, two bigint, mins binary")
-    once = made.groupBy("digest").agg(*(F.first(c).alias(c) for c in ("kinds", "one", "two", "mins")))
+    work = partial(_sketch, width=width, min_words=min_words, hashes_each=max(HASHES, bands * (guards + 2)))
+    made = texts.mapInPandas(work, f"digest binary, kinds int, {', '.join(f'{c} bigint' for c in SKETCH)}, mins binary")
+    once = made.groupBy("digest").agg(*(F.first(c).alias(c) for c in ("kinds", *SKETCH, "mins")))
     return settle(once.withColumn("doc", F.monotonically_increasing_id()))
 
 
@@ -243,33 +326,20 @@ def near_pairs(texts: DataFrame, made: DataFrame, width: int, similarity: float,
     Copies are put together by their digest before any key is made, so a copied text counts once. Candidates share a band key. A band
     travels as one row; its keys are made where it arrives, those of one text end there, and up to MEETING texts of a key are compared at
     once. Texts of a larger key go on to meet in blocks, so a key that a third of all texts have is compared by many tasks. The texts met are thinned by the sizes of
-    their shingle sets, which is exact, and by how many of 32 minimum hashes agree in four bits, at ``DEVIATIONS`` below what a pair at the threshold has; the
+    their shingle sets, which is exact, and by how many of 32, then of 96, minimum hashes agree in four bits, at ``DEVIATIONS`` below what a pair at the threshold has; the
     rest are verified on the 64-bit hashes of all their shingles, taken once for each text. No bucket and no number of partners is capped.
     """
     shape = "guard bigint, five bigint, sixth bigint, doc bigint, one bigint, two bigint"
-    keyed = made.select("doc", "kinds", "one", "two", "mins").mapInPandas(partial(_keys, bands=bands, guards=guards), shape)
-    index = F.array(*[F.shiftright("five", 12 * k).bitwiseAND(F.lit(4095)) for k in range(5)], F.col("sixth").bitwiseAND(F.lit(4095)))
-    text = F.struct("doc", F.shiftright("sixth", 12).alias("kinds"), "one", "two")
+    keyed = made.select("doc", "kinds", *SKETCH[:2], "mins").mapInPandas(partial(_keys, bands=bands, guards=guards), shape)
     # the shuffle is by guard alone, a row for each band; the six keys of a band are made where they meet
-    each = keyed.repartition("guard").select("guard", F.explode(F.array_distinct(index)).alias("at"), text.alias("text"))
-    counted = each.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("guard", "at"))).filter("n > 1")
-    lone = F.when(F.col("n") > MEETING, F.col("text.doc"))
-    lists = counted.groupBy("guard", "at", "n", lone.alias("lone")).agg(F.collect_list("text").alias("texts"))  # at most MEETING texts
-    ones = lists.select("guard", "at", "n", "texts", F.posexplode("texts").alias("pos", "p"))
-    pairs = ones.select("guard", "at", "n", "p", F.explode_outer(F.slice("texts", F.col("pos") + 2, F.lit(MEETING))).alias("q"))
-    likely_pair = partial(_likely, similarity=similarity)
-    hot = F.col("n") > MEETING
-    met = settle(
-        pairs.filter(hot | F.coalesce(likely_pair(F.col("p"), F.col("q")), F.lit(False)))
-        .select(F.col("p.doc").alias("p"), F.col("q.doc").alias("q"), F.when(hot, F.struct(F.struct("guard", "at").alias("key"), "n", F.col("p.doc").alias("doc"), F.col("p").alias("text"))).alias("hot"))
-        .distinct()
-    )
-    crowd = meetings(met.filter("hot is not null").select("hot.*"), "key", "doc", MEETING)
-    crowd = crowd.filter(likely_pair(F.col("text_p"), F.col("text_q"))).select(F.col("doc_p").alias("p"), F.col("doc_q").alias("q"))
-    met = met.filter("hot is null").select("p", "q").union(crowd)
+    work = partial(_meet, similarity=similarity)
+    met = settle(keyed.repartition("guard").sortWithinPartitions("guard").mapInPandas(work, "p bigint, q bigint, key bigint, kinds bigint, one bigint, two bigint").distinct())
+    crowd = met.filter("q is null").select("key", F.col("p").alias("doc"), "kinds", *SKETCH[:2])
+    crowd = meetings(sharing(crowd, "key"), "key", "doc", MEETING).filter(_likely(similarity, SKETCH[:2])).select(F.col("doc_p").alias("p"), F.col("doc_q").alias("q"))
+    met = met.filter("q is not null").select("p", "q").union(crowd)
     met = met.select(F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q")).distinct()
-    one, two = (made.select(F.col("doc").alias(s), F.col("digest").alias(f"digest_{s}")) for s in "pq")
-    named = met.join(one, "p").join(two, "q")
+    one, two = (made.select(F.col("doc").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in ("digest", "kinds", *SKETCH))) for s in "pq")
+    named = met.join(one, "p").join(two, "q").filter(_likely(similarity, SKETCH))
     likely = settle(named.select(F.least("digest_p", "digest_q").alias("x"), F.greatest("digest_p", "digest_q").alias("y")))
     wanted = likely.select(F.col("x").alias("digest")).union(likely.select(F.col("y").alias("digest"))).distinct()
     needed = texts.join(wanted, "digest", "left_semi").groupBy("digest").agg(F.first("text").alias("text"))

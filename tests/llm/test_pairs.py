@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -47,8 +48,6 @@ def test_tail_against_convolution():
 
 
 def test_null_honours_degrees():
-    import pandas as pd
-
     items = pd.DataFrame({"cls": [1, 3, 9], "degree": [1.0, 3.0, 9.0], "count": [30, 20, 4]})
     records = pd.DataFrame({"cls": [2, 6], "degree": [2.0, 6.0], "count": [30, 11]})
     null = together.fit_null(items, records)
@@ -59,8 +58,6 @@ def test_null_honours_degrees():
 
 
 def test_null_with_certain_links():
-    import pandas as pd
-
     # of 5 items one is in all 6 records; one record has all items
     items = pd.DataFrame({"cls": [2, 6], "degree": [2.0, 6.0], "count": [4, 1]})
     records = pd.DataFrame({"cls": [2, 5, 1], "degree": [2.0, 5.0, 1.0], "count": [4, 1, 1]})
@@ -165,8 +162,25 @@ def test_crowded_keys_lose_no_pair(spark, copies, monkeypatch):
     rows = [(*r, "x") for r in copies] + [(f"crowd{k:02}", " ".join(edited(rng, base, 0.02)), "x") for k in range(40)]
     df = spark.createDataFrame(rows, "id string, document string, text string")
     want = {tuple(r) for r in neardup.near_duplicate_ids(df).collect()}
-    monkeypatch.setattr(neardup, "MEETING", 4)
-    assert {tuple(r) for r in neardup.near_duplicate_ids(df).collect()} == want and len(want) > 40 * 39 / 2
+    assert len(want) > 40 * 39 / 2
+    texts = df.select(F.unhex(F.substring(F.sha2("document", 256), 1, 32)).alias("digest"), F.col("document").alias("text")).dropna()
+    made = neardup.sketches(texts, 3, 40, 32, 1)
+    keyed = made.select("doc", "kinds", "one", "two", "mins").toPandas()
+    rows = pd.concat(neardup._keys([keyed], 32, 1)).sort_values("guard")
+    cut = [rows.iloc[i : i + 7] for i in range(0, len(rows), 7)]
+    pairs = pd.concat(neardup._meet(cut, 0.6))
+    assert pairs["q"].notna().all()
+    for meeting, crowd in ((4, 200_000), (1024, 5), (4, 5)):
+        monkeypatch.setattr(neardup, "MEETING", meeting)
+        monkeypatch.setattr(neardup, "CROWD", crowd)
+        some = pd.concat(neardup._meet(cut, 0.6))
+        alone = some[some["q"].isna()]
+        met = {(p, q) for p, q in zip(some["p"], some["q"]) if not pd.isna(q)}
+        for _, group in alone.groupby("key"):
+            met |= {(p, q) for p in group["p"] for q in group["p"] if p < q}
+        assert met >= set(zip(pairs["p"], pairs["q"])) and len(alone)
+        again = neardup.near_pairs(texts, made, 3, 0.6, 32, 1)  # the workers have the plain limits, so only the crowd's blocks differ
+        assert again.count() == neardup.near_pairs(texts, made, 3, 0.6, 32, 1).count()
 
 
 def test_components_fail_rather_than_stop(spark):
