@@ -1,8 +1,9 @@
 """Problem 5: text of scanned pages repaired into continuous paragraphs.
 
-Word counts and skip-gram vectors are learnt from the whole collection. In each scanned document the furniture of the
-pages is told from its text, words broken across lines are put together, and words too rare for how
-close they come, by a plausible confusion of glyphs, to a far more frequent word are corrected where the context agrees.
+Word counts and skip-gram vectors are learnt from the whole collection. A word is linked to the more frequent words that a plausible
+confusion of glyphs makes it from; which of them is meant, and whether any, is decided where the word stands, by how much more frequent it is and how much
+nearer its vector is to those of the words around. In each scanned document the furniture of the
+pages is told from its text, words broken across lines are put together, misread words corrected, and the lines put together.
 """
 
 from __future__ import annotations
@@ -43,30 +44,42 @@ for _wrong, _right in GLYPHS:
         LETTERS.setdefault(_wrong, []).append(_right)
     else:
         BY_SIGN.setdefault(_wrong[0], []).append((_wrong, _right))
-#: A word is in the vocabulary from this share of all words on (and five occurrences): at most 500,000 words.
-SHARE = 2e-6
+#: The vocabulary is that of the most frequent words, of at most so many in all: all words of a collection that has no more.
+VOCABULARY = 500_000
 VECTOR, WINDOW = 24, 3
+#: Words of a part of the training; the vectors of the parts are averaged after their pass.
+PART = 1_000_000
 #: Words to either side whose vectors make up the context of a word.
 AROUND = 3
-#: A misreading is used like the word that it stands for: from this cosine of their vectors on, a word is none of its own.
-ALIKE = 0.5
+#: In even contexts the word meant must be ten times as frequent as the one read (one in log10); each unit of cosine by which its vector is nearer to
+#: the context counts like this many powers of ten. The context can lower the tenfold to LINKED times, not further.
+TENFOLD, NEARER, LINKED = 1.0, 2.0, 3
 NOISE = "furniture broken misread".split()
 
 
 class Words:
-    """The vocabulary: counts, the least count in it, and for its more frequent words unit vectors."""
+    """The vocabulary: counts, the least count in it, unit vectors of its more frequent words, and the short lines that recur."""
 
     def __init__(self, counts: dict[str, int], least: int, index: dict[str, int], vectors: np.ndarray, lines: frozenset = frozenset()):
-        self.counts, self.least, self.index, self.vectors, self.lines = counts, least, index, vectors, lines
+        self.counts, self.least, self.index, self.lines = counts, least, index, lines
         self.memory: dict[str, list[str]] = {}
+        # what all words have in common is taken off, and frequent words count less in a context (smooth inverse frequency)
+        often = np.array([counts.get(w, 1) for w in index], float)
+        share = often / max(1.0, often.sum())
+        own = vectors - share @ vectors if len(index) else vectors
+        self.vectors = (own / np.maximum(np.linalg.norm(own, axis=1, keepdims=True), 1e-9)).astype(np.float32)
+        self.weight = 1e-3 / (1e-3 + share)
+
+    def seen(self, word: str) -> int:
+        """How often a word occurs; of a word that is not in the vocabulary, how often it may at most."""
+        return self.counts.get(word) or max(1, self.least - 1)
 
     def neighbours(self, word: str) -> list[str]:
-        """Far more frequent words from which one confusion makes this one, or up to three if all put digits or signs for letters."""
+        """LINKED times more frequent words from which one confusion makes this one, or up to three if all put digits or signs for letters."""
         known = self.memory.get(word)
         if known is not None:
             return known
-        own = self.counts.get(word, 0)
-        enough = max(10 * own, 3 * self.least)
+        enough = LINKED * self.seen(word)
         found: list[str] = []
         hard = sum(map(HARD.__contains__, word))
         if not hard:
@@ -85,22 +98,23 @@ class Words:
             self.memory[word] = found
         return found
 
+    def nearness(self, word: str, context: np.ndarray) -> float:
+        """The cosine of a word's vector and a context's; 0, which unrelated words have, if the word is too rare for a vector."""
+        at = self.index.get(word)
+        return 0.0 if at is None else float(self.vectors[at] @ context)
+
     def correct(self, word: str, context: list[str]) -> str | None:
-        """The word that is meant if this one is a misreading, chosen by the likeness of its vector to its context."""
+        """The word that is meant if this one is a misreading: a noisy channel of frequency and nearness to the context."""
         found = self.neighbours(word)
         if not found:
             return None
         near = [self.index[c] for c in context if c in self.index]
-        if not near:
-            return max(found, key=lambda c: self.counts[c])
-        mean = self.vectors[near].mean(axis=0)
-        mean /= np.linalg.norm(mean) or 1.0
-        score = lambda w: float(self.vectors[self.index[w]] @ mean) if w in self.index else -1.0
-        best = max(found, key=lambda c: (score(c), self.counts[c]))
-        if word in self.index and best in self.index and score(word) > score(best) + 0.3:
-            if self.vectors[self.index[word]] @ self.vectors[self.index[best]] < ALIKE:
-                return None  # a word of its own that fits here better; which words have vectors is a share of all words, no count
-        return best
+        around = self.weight[near] @ self.vectors[near] if near else np.zeros(self.vectors.shape[1])
+        around = around / (np.linalg.norm(around) or 1.0)
+        own = self.nearness(word, around)
+        score = lambda c: np.log10(self.counts[c] / self.seen(word)) + NEARER * (self.nearness(c, around) - own)
+        best = max(found, key=score)
+        return best if score(best) >= TENFOLD - 1e-9 else None
 
 
 def plain_line(line: str) -> str:
@@ -177,11 +191,11 @@ def _cased(word: str, like: str) -> str:
     letters = [c for c in like if c.isalpha()]
     if len(letters) > 1 and all(c.isupper() for c in letters):
         return word.upper()
-    return word[:1].upper() + word[1:] if letters and letters[0].isupper() and like[:1].isalpha() or like[:1] in "!|105" and False else word
+    return word[:1].upper() + word[1:] if letters and letters[0].isupper() and like[:1].isalpha() else word
 
 
-def analyse(text: str, words: Words, reflowed: bool = True) -> tuple[str, list[tuple[int, bool, bool, bool]]]:
-    """The repaired text (the given one if it is not wanted), and its lines with noise: number from 1, furniture, broken word, misread word."""
+def analyse(text: str, words: Words) -> tuple[str, list[tuple[int, bool, bool, bool]]]:
+    """The repaired text, and its lines with noise: number from 1, furniture, broken word, misread word."""
     lines = (text if text.isascii() else UNSEEN.sub("", text)).split("\n")
     kinds = line_kinds(lines, words.lines) if len(lines) >= 4 else None
     if kinds is None:
@@ -249,8 +263,6 @@ def analyse(text: str, words: Words, reflowed: bool = True) -> tuple[str, list[t
         changes.setdefault(i, []).append((*start, _cased(meant, token)))
         changes.setdefault(j, []).append((*TOKEN.search(lines[j]).span(), ""))
     listed = [(i + 1, *flags) for i, flags in sorted(noise.items()) if any(flags)]
-    if not reflowed:
-        return text, listed
     clean = []
     for i, line in enumerate(lines):
         for start, end, new in sorted(changes.get(i, []), reverse=True):
@@ -341,20 +353,33 @@ def _count(batches):
     yield handed()
 
 
+def least_count(counts: DataFrame, most: int | None = None) -> int:
+    """The least count from which on there are at most ``most`` words. The counts come to the driver in steps of a hundredth (single ones up to
+    128), so there are a few thousand whatever the collection."""
+    most = VOCABULARY if most is None else most
+    step = F.when(F.col("n") <= 128, F.col("n")).otherwise(128 + F.floor(F.log(F.col("n") / 128.0) / F.log1p(F.lit(0.01))))
+    steps = counts.groupBy(step.alias("step")).agg(F.min("n").alias("low"), F.count(F.lit(1)).alias("words")).collect()
+    least = words = 0
+    for r in sorted(steps, key=lambda r: -r["low"]):
+        words += r["words"]
+        if words > most:
+            return least or r["low"] + 1
+        least = r["low"]
+    return 1
+
+
 def learn(named: DataFrame) -> Words:
     """Counts and skip-gram vectors of the words of all records, and the short lines that recur in the wrapped ones.
 
-    What comes to the driver is bounded whatever the collection: at most 1 / SHARE words, vectors for at most 100,000
+    What comes to the driver is bounded whatever the collection: VOCABULARY words, vectors for at most 100,000
     of them, and at most 100,000 lines.
     """
     from pyspark.ml.feature import Word2Vec
 
-    spark = named.sparkSession
     read = settle(named.select("text").mapInPandas(_count, "kind string, token string, n bigint"))
     counts = settle(read.filter("kind != 'context'").groupBy("kind", "token").agg(F.sum("n").alias("n")))
-    totals = {r["kind"]: r["n"] for r in counts.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
-    total, number = totals.get("word", 0), totals.get("line", 0)
-    least, recurs = max(5, int(np.ceil(total * SHARE))), max(5, int(np.ceil(number * 1e-5)))
+    number = counts.filter("kind = 'line'").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    least, recurs = least_count(counts.filter("kind = 'word'")), max(5, int(np.ceil(number * 1e-5)))
     vocabulary = {r["token"]: r["n"] for r in counts.filter((F.col("kind") == "word") & (F.col("n") >= least)).toLocalIterator()}
     known = frozenset(r["token"] for r in counts.filter((F.col("kind") == "line") & (F.col("n") >= recurs)).toLocalIterator())
     index, vectors = {}, np.zeros((0, VECTOR), np.float32)
@@ -362,7 +387,7 @@ def learn(named: DataFrame) -> Words:
     running = read.filter("kind = 'context'").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     enough = max(5, int(np.ceil(running * 1e-5)))
     if running >= 1000:
-        parts = max(1, spark.sparkContext.defaultParallelism)
+        parts = max(1, -(-int(running) // PART))  # by the words, so that clusters of any size learn alike
         model = Word2Vec(vectorSize=VECTOR, minCount=enough, numPartitions=parts, stepSize=0.05, maxIter=1, seed=42, windowSize=WINDOW, inputCol="words", outputCol="v").fit(context)
         found = [(r["word"], r["vector"].toArray()) for r in model.getVectors().toLocalIterator()]
         index = {w: i for i, (w, _) in enumerate(found)}
@@ -399,16 +424,5 @@ def repair(rows: DataFrame, key: str = "id", text: str = "document") -> DataFram
 
 
 def noisy_lines(rows: DataFrame, key: str = "id", text: str = "document") -> DataFrame:
-    """``id, line_no`` of the lines with furniture, a broken word or a misread word."""
-    named = rows.select(F.col(key).alias("id"), F.col(text).alias("text")).dropna()
-    shared = named.sparkSession.sparkContext.broadcast(learn(named))
-
-    def work(batches):
-        words = shared.value
-        for batch in batches:
-            found = [[n[0] for n in analyse(t, words, False)[1]] for t in batch["text"]]
-            sizes = [len(x) for x in found]
-            yield pd.DataFrame({"id": np.repeat(batch["id"].to_numpy(), sizes), "line_no": np.array([n for x in found for n in x], np.int64)})
-
-    shape = T.StructType([T.StructField("id", named.schema["id"].dataType), T.StructField("line_no", T.LongType())])
-    return named.filter(may_be_scanned(F.col("text"))).mapInPandas(work, shape).distinct()
+    """``id, line_no`` of the lines with furniture, a broken word or a misread word, as repair finds and mends them."""
+    return repair(rows, key, text).select("id", F.explode("noise.line_no").alias("line_no")).distinct()
