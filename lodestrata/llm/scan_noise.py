@@ -9,7 +9,9 @@ pages is told from its text, words broken across lines are put together, misread
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -49,10 +51,13 @@ VOCABULARY = 500_000
 VECTOR, WINDOW = 24, 3
 #: Words of a part of the training; the vectors of the parts are averaged after their pass.
 PART = 1_000_000
+#: Words of a larger share than this are seen less often in training, by the root of how much larger, as skip-gram training has it. It lets the
+#: windows reach the words that tell something.
+SUBSAMPLE = 1e-4
 #: Words to either side whose vectors make up the context of a word.
 AROUND = 3
 #: In even contexts the word meant must be ten times as frequent as the one read (one in log10); each unit of cosine by which its vector is nearer to
-#: the context counts like this many powers of ten. The context can lower the tenfold to LINKED times, not further.
+#: the context counts like this many powers of ten, up to one: from a hundredfold on frequency decides, below LINKED times nothing does.
 TENFOLD, NEARER, LINKED = 1.0, 2.0, 3
 NOISE = "furniture broken misread".split()
 
@@ -104,15 +109,24 @@ class Words:
         return 0.0 if at is None else float(self.vectors[at] @ context)
 
     def correct(self, word: str, context: list[str]) -> str | None:
-        """The word that is meant if this one is a misreading: a noisy channel of frequency and nearness to the context."""
+        """The word that is meant if this one is a misreading: a noisy channel of frequency and nearness to the context.
+
+        That a word fits its context better than the one meant counts as far as their vectors differ: a misreading that came often enough for a vector
+        is used like the word it stands for."""
         found = self.neighbours(word)
         if not found:
             return None
         near = [self.index[c] for c in context if c in self.index]
         around = self.weight[near] @ self.vectors[near] if near else np.zeros(self.vectors.shape[1])
         around = around / (np.linalg.norm(around) or 1.0)
-        own = self.nearness(word, around)
-        score = lambda c: np.log10(self.counts[c] / self.seen(word)) + NEARER * (self.nearness(c, around) - own)
+        own, at = self.nearness(word, around), self.index.get(word)
+
+        def score(c: str) -> float:
+            nearer = self.nearness(c, around) - own
+            if nearer < 0 and at is not None and c in self.index:
+                nearer *= (1 - float(self.vectors[at] @ self.vectors[self.index[c]])) / 2
+            return np.log10(self.counts[c] / self.seen(word)) + min(1.0, max(-1.0, NEARER * nearer))
+
         best = max(found, key=score)
         return best if score(best) >= TENFOLD - 1e-9 else None
 
@@ -353,6 +367,16 @@ def _count(batches):
     yield handed()
 
 
+def _subsampled(batches, keep: dict[str, float]):
+    for batch in batches:
+        out = []
+        for text in batch["token"]:
+            words = text.split(" ")
+            chance = np.random.default_rng(zlib.crc32(text.encode())).random(len(words)).tolist()
+            out.append([w for w, x in zip(words, chance) if x < keep.get(w, 1.0)])
+        yield pd.DataFrame({"words": out})
+
+
 def least_count(counts: DataFrame, most: int | None = None) -> int:
     """The least count from which on there are at most ``most`` words. The counts come to the driver in steps of a hundredth (single ones up to
     128), so there are a few thousand whatever the collection."""
@@ -383,11 +407,13 @@ def learn(named: DataFrame) -> Words:
     vocabulary = {r["token"]: r["n"] for r in counts.filter((F.col("kind") == "word") & (F.col("n") >= least)).toLocalIterator()}
     known = frozenset(r["token"] for r in counts.filter((F.col("kind") == "line") & (F.col("n") >= recurs)).toLocalIterator())
     index, vectors = {}, np.zeros((0, VECTOR), np.float32)
-    context = read.filter("kind = 'context'").select(F.split("token", " ").alias("words"))
+    context = read.filter("kind = 'context'").select("token")
     running = read.filter("kind = 'context'").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     enough = max(5, int(np.ceil(running * 1e-5)))
     if running >= 1000:
         parts = max(1, -(-int(running) // PART))  # by the words, so that clusters of any size learn alike
+        keep = {w: float(np.sqrt(SUBSAMPLE * running / n)) for w, n in vocabulary.items() if n > SUBSAMPLE * running}
+        context = context.mapInPandas(partial(_subsampled, keep=keep), "words array<string>")  # at most 1 / SUBSAMPLE words
         model = Word2Vec(vectorSize=VECTOR, minCount=enough, numPartitions=parts, stepSize=0.05, maxIter=1, seed=42, windowSize=WINDOW, inputCol="words", outputCol="v").fit(context)
         found = [(r["word"], r["vector"].toArray()) for r in model.getVectors().toLocalIterator()]
         index = {w: i for i, (w, _) in enumerate(found)}
