@@ -55,6 +55,10 @@ def p4_found(spark, folder):
     return lookalike.look_alike_ids(table(spark, folder, "chunks"))
 
 
+def p4_groups(spark, folder):
+    return lookalike.look_alike_groups(table(spark, folder, "chunks"))
+
+
 def p4_normalized(spark, folder):
     return lookalike.normalized(table(spark, folder, "chunks"))
 
@@ -121,7 +125,7 @@ def p10_spread(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
-        p1_found, p1_frequency, p2_found, p2_pairs, p2_significant, p2_recorded, p3_found, p3_groups, p4_found, p4_normalized, p5_found, p5_repaired, p6_found, p6_clean,
+        p1_found, p1_frequency, p2_found, p2_pairs, p2_significant, p2_recorded, p3_found, p3_groups, p4_found, p4_groups, p4_normalized, p5_found, p5_repaired, p6_found, p6_clean,
         p7_found, p7_pieces, p8_pack, p8_fill, p9_mix, p9_shares, p9_temperature, p10_found, p10_quality, p10_spread,
     )
 }

@@ -24,6 +24,35 @@ def test_other_look(one, two):
     assert lookalike.one_form(one)[0] != lookalike.one_form(two)[0]
 
 
+GENUINE = [
+    "Он сел в автобус и уехал, а вор остался у реки. Это хор.", "Сор и рос, ТОТ и ОСА: все в одном.", "Ο ήλιος και η θάλασσα είναι το τέλος.", "Հայերեն օսում հոց են սա։", "ѕвезда и месец", "日本語のテキストと한국어",
+    "In English, the word Москва stands alone; a cat sees it.", "The α of a γ ray",
+]
+
+
+@pytest.mark.parametrize("text", GENUINE)
+def test_genuine_words_stay(text):
+    import unicodedata
+
+    assert lookalike.one_form(text)[0] == unicodedata.normalize("NFC", text)
+
+
+def test_spelling_follows_the_line():
+    swap = str.maketrans("асорхеуТОА", "acopxeyTOA")  # Cyrillic to Latin of the same look
+    text = "Он сел в автобус и уехал, а вор остался у реки. Это хор.\nТОТ сор рос"
+    lines = text.split("\n")
+    assert lookalike.one_form(text.translate(swap))[0] == lookalike.one_form(text)[0]
+    assert lookalike.one_form("The ѕсоре of a сору in use")[0] == "The scope of a copy in use"
+    assert lookalike.one_form(lines[1])[0] == lines[1].translate(swap)  # with no word around that has one choice, Latin
+    assert lookalike.one_form("ᎪᏢᏢᏞᎬ ꓮꓑꓑꓡꓰ")[0] == "APPLE APPLE"
+
+
+def test_scripts_of_letters():
+    assert lookalike.choices("日本語の") and lookalike.choices("한국") and lookalike.scripts_of("ー") >= {"Hiragana", "Katakana", "Japanese"}
+    assert lookalike.choices("сор")[0] == "Latin" and "Cyrillic" in lookalike.choices("сор") and lookalike.choices("вор") == ("Cyrillic",)
+    assert all(len(latin) == 1 and latin.isascii() and latin.isalpha() for latin in lookalike.TO_LATIN.values())
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(max_size=40))
 def test_form_is_stable(text):
@@ -35,6 +64,8 @@ def test_look_alike_pairs(spark):
     rows = [("a", "a fine day", 1), ("b", "a ﬁne day", 1), ("b", "a ﬁne day", 1), ("c", "a fine day", 1), ("d", None, 1), (None, "a fine day", 1), ("e", "", 1), ("f", "A fine day", 1)]
     df = spark.createDataFrame(rows, "id string, document string, form int")
     assert sorted(map(tuple, lookalike.look_alike_ids(df).collect())) == [("a", "b"), ("b", "c")]
+    groups = {r["id"]: tuple(r)[1:] for r in lookalike.look_alike_groups(df).collect()}
+    assert groups == {"a": ("a", 2, 3), "b": ("a", 2, 3), "c": ("a", 2, 3), "e": ("e", 1, 1), "f": ("f", 1, 1)}
     assert lookalike.normalized(df).count() == 7 and lookalike.look_alike_ids(df.limit(0)).count() == 0
 
 
