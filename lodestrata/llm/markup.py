@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import html
 import re
+import sys
 from html.entities import html5
 
 import pandas as pd
@@ -42,13 +43,17 @@ FOOTNOTE = re.compile(r"<sup>&</sup>lt;sup>\d{1,3}</sup>|(?<![\w&])lt;sup>\d{1,3
 FENCE = re.compile(r"^(`{3,}|~{3,})[^\n`]*\n(.*?)(?:^\1[`~]*[ \t]*$|\Z)", re.S | re.M)
 TICKS = re.compile(r"(?<![`\\])(`+)(?!`)([^\n]*?[^`\n])\1(?!`)")
 MATH = re.compile(
-    rf"\$\$(.{{1,5000}}?)\$\$|\\\[(.{{1,5000}}?)\\\]|\\\((.{{1,2000}}?)\\\)|\\begin\{{((?:{MATH_ENVIRONMENTS})\*?)\}}(.{{0,20000}}?)\\end\{{\4\}}|(?<![\\$\w])\$(?=[^\s$\d])((?:[^$\n\\]|\\.|\n(?!\n)){{1,400}}?)(?<=[^\s\\])\$(?![\d$\w])|(?<![\\$\w])\$(?=\d)((?=[^$\n]*[\\^_={{])[^$\n]{{1,400}}?)(?<=\S)\$(?![\d$\w])",
+    # none runs past another opening of its kind, so that openings that are never closed cost no more than the text between them
+    rf"\$\$(.+?)\$\$|\\\[((?:(?!\\\[).)+?)\\\]|\\\(((?:(?!\\\().)+?)\\\)|\\begin\{{((?:{MATH_ENVIRONMENTS})\*?)\}}((?:(?!\\begin\{{\4\}}).)*?)\\end\{{\4\}}|(?<![\\$\w])\$(?=[^\s$\d])((?:[^$\n\\]|\\.|\n(?!\n))+?)(?<=[^\s\\])\$(?![\d$\w])|(?<![\\$\w])\$(?=\d)((?=[^$\n]*[\\^_={{])[^$\n]+?)(?<=\S)\$(?![\d$\w])",
     re.S,
 )
-COMMAND = re.compile(r"\\([A-Za-z]+)(\*?)((?:\[[^\]\n]{0,200}\])*)(?=(\{)?)")
+COMMAND = re.compile(r"\\([A-Za-z]+)(\*?)((?:\[[^\[\]\n]*\])*)(?=(\{)?)")
 OPEN, SHUT = "\ue000", "\ue001"
-#: Elements nested deeper than this, which only unclosed tags are, count as closed at once.
-DEEPEST = 150
+#: Elements nested deeper than this, which only unclosed tags are, count as closed at once; the walk over the tree recurses.
+DEEPEST = 2000
+sys.setrecursionlimit(max(sys.getrecursionlimit(), 10 * DEEPEST))
+#: A tabular environment: its columns, and what it holds.
+TABULAR = re.compile(r"\\begin\{(tabular[x*]?|array)\}(?:\{[^{}\n]*\}(?=\{))?(?:\[[^\[\]\n]*\])?\{(?:[^{}\n]|\{[^{}\n]*\})*\}((?:(?!\\begin\{tabular).)*?)\\end\{\1\}", re.S)
 
 
 class Rewriting:
@@ -82,6 +87,53 @@ class Rewriting:
         return self.element(f"<{name}>") + content + self.element(f"</{name}>")
 
 
+def item(r: Rewriting, text: str, level: int = 0, mark: str = "•") -> str:
+    return r.element(f'<li level="{level}" mark="{mark}">') + text + r.element("</li>")
+
+
+def spans(line: str, opener: str, closer: str, solid: str | None = None) -> list[tuple[int, int, int, int]]:
+    """``start, inner start, inner end, end`` of what stands between marks in a line, from the first opening to the next closing.
+
+    One pass: an opening waits for its closing, however far. ``solid`` may not stand in between.
+    """
+    found, waits, at = [], None, 0
+    kinds = re.compile(rf"(?P<both>(?={opener})(?={closer}))|(?P<open>{opener})|(?P<close>{closer})" + (f"|(?P<solid>{solid})" if solid else ""))
+    first = re.compile(opener)
+    while m := kinds.search(line, at):
+        kind, start = m.lastgroup, m.start()
+        end = first.match(line, start).end() if kind == "both" else m.end()
+        at = max(end, start + 1)
+        if kind == "solid":
+            waits = None
+        elif waits is not None and kind in ("close", "both") and start > waits[1]:
+            found.append((*waits, start, end))
+            waits = None
+        elif kind in ("open", "both") and (waits is None or solid):
+            waits = (start, end)
+        elif kind == "close" and solid:
+            waits = None
+    return found
+
+
+def unmarked(r: Rewriting, kind: str, sign: str, opener: str, closer: str, solid: str | None = None, keep=None) -> None:
+    """Takes off the marks, which begin with ``sign``, around spans of one line."""
+    if r.text.count(sign) < 2:
+        return
+    lines = r.text.split("\n")
+    for k, line in enumerate(lines):
+        if line.count(sign) < 2:
+            continue
+        out, at = [], 0
+        for start, inner, stop, end in spans(line, opener, closer, solid):
+            if keep is not None and keep(line[inner:stop]):
+                continue
+            out += [line[at:start], line[inner:stop]]
+            at = end
+            r.pieces[kind] += 1
+        lines[k] = "".join(out) + line[at:]
+    r.text = "\n".join(lines)
+
+
 def _code(r: Rewriting) -> None:
     r.sub(FENCE, lambda m: r.keep("pre", m[2].rstrip("\n")) + "\n", "markdown")
     r.sub(TICKS, lambda m: r.keep("code", m[2].strip()) if m[2].strip() else None, "markdown")
@@ -112,19 +164,32 @@ def _html(r: Rewriting) -> None:
     r.sub(ENTITY, lambda m: r.keep("text", html.unescape(m.group())) if m[1][0] == "#" or m[1] + ";" in html5 else None, "html")
 
 
-def _braced(text: str, at: int) -> int:
-    """The end of the group that opens at ``at``, or -1."""
-    depth = 0
-    for i in range(at, min(len(text), at + 5_000)):
-        if text[i] in "{}" and (i == 0 or text[i - 1] != "\\"):
-            depth += 1 if text[i] == "{" else -1
-            if not depth:
-                return i
-    return -1
+def braces(text: str) -> dict[int, int]:
+    """The closing brace of each opening one, in one pass; braces behind a backslash are text."""
+    waiting, ends = [], {}
+    for m in re.finditer(r"(?<!\\)[{}]", text):
+        if m[0] == "{":
+            waiting.append(m.start())
+        elif waiting:
+            ends[waiting.pop()] = m.start()
+    return ends
+
+
+def rows_of(r: Rewriting, rows: list[list[str]]) -> str:
+    tag = r.element
+    return tag("<table>") + "".join(tag("<tr>") + "".join(tag("<td>") + c + tag("</td>") for c in row) + tag("</tr>") for row in rows) + tag("</table>")
+
+
+def _tabular(m, r: Rewriting) -> str:
+    body = re.sub(r"\\(?:hline|toprule|midrule|bottomrule|centering)\b|\\c(?:line|midrule)(?:\([^()\n]*\))?\{[^{}\n]*\}", "", m[2])
+    rows = [[c.strip() for c in re.split(r"(?<!\\)&", row)] for row in re.split(r"\\\\(?:\[[^\[\]\n]*\])?", body) if row.strip()]
+    return rows_of(r, rows)
 
 
 def _latex(r: Rewriting) -> None:
+    r.sub(TABULAR, lambda m: _tabular(m, r), "latex")
     out, at, text = [], 0, r.text
+    ends = braces(text)
     shuts: set[int] = set()  # closing braces of arguments that stay, which go
 
     def upto(end: int) -> str:
@@ -138,7 +203,7 @@ def _latex(r: Rewriting) -> None:
 
     while m := COMMAND.search(text, at):
         name, end = m[1], m.end()
-        shut = _braced(text, end) if m[4] else -1
+        shut = ends.get(end, -1) if m[4] else -1
         content = text[end + 1 : shut] if shut >= 0 else None
         if name not in BARE and content is None:
             out.append(upto(end))
@@ -161,7 +226,7 @@ def _latex(r: Rewriting) -> None:
             out.append(r.element(f"<{'/' * (name == 'end')}{kind}>") if kind else "")
         elif name in REFERENCES:
             out.append(f"[{content}]" if name.startswith("cite") else f"({content})")
-        elif name == "href" and text[at : at + 1] == "{" and (more := _braced(text, at)) >= 0:
+        elif name == "href" and text[at : at + 1] == "{" and (more := ends.get(at, -1)) >= 0:
             at += 1
             shuts.add(more)
         elif name not in SILENT:
@@ -173,19 +238,50 @@ def _latex(r: Rewriting) -> None:
         r.text = re.sub(r"\\\\(?:\[[^\]\n]*\])?", lambda m: r.element("<br>"), r.text)
 
 
+#: Lines of a wiki list that Markdown's rules do not cover: with nested items, or of two or more numbered ones.
+WIKI_LIST = re.compile(r"^(?:(?:\*[ \t]+\S[^\n]*\n)*\*[*#]{1,5}[ \t]+\S[^\n]*(?:\n\*[*#]{0,5}[ \t]+\S[^\n]*)*|#[ \t]+\S[^\n]*\n#[ \t]+\S[^\n]*(?:\n#[*#]{0,5}[ \t]+\S[^\n]*)*)", re.M)
+
+
+def _wiki_list(m, r: Rewriting) -> str:
+    numbers, out = [0] * 7, []
+    for line in m[0].split("\n"):
+        marks = re.match(r"[*#]+", line)[0]
+        level = len(marks) - 1
+        numbers[level + 1 :] = [0] * (6 - level)
+        numbers[level] += 1
+        out.append(item(r, line[len(marks) :].strip(), level, f"{numbers[level]}." if marks[-1] == "#" else "•"))
+    return "\n".join(out)
+
+
+def _templates(r: Rewriting, template) -> None:
+    """Each ``{{...}}`` replaced, inner ones first, in one pass."""
+    stack: list[list[str]] = [[]]  # what stands before, and within each template that is open
+    for part in re.split(r"(\{\{(?!\{)|\}\})", r.text):
+        if part == "{{":
+            stack.append([])
+        elif part == "}}" and len(stack) > 1:
+            inner, before = "".join(stack.pop()), stack[-1][-1] if stack[-1] else ""
+            named = re.match(r"\s*[A-Za-z#]", inner) and not re.search(r"[{}]", inner) and not re.search(r"[\w}{]\Z", before)
+            r.pieces["wiki"] += bool(named)
+            stack[-1].append(template(inner.lstrip()) if named else "{{" + inner + "}}")
+        elif part:
+            stack[-1].append(part)
+    while len(stack) > 1:
+        rest = "".join(stack.pop())
+        stack[-1].append("{{" + rest)
+    r.text = "".join(stack[0])
+
+
 def _wiki(r: Rewriting) -> None:
-    def template(m):
-        name, *parts = m[1].split("|")
+    def template(content: str) -> str:
+        name, *parts = content.split("|")
         named = [p.split("=", 1) for p in parts if "=" in p]
         if not named or name.strip().lower().startswith(("cite", "ref", "citation")):
             return ""
         return r.element("<p>") + " | ".join(f"{k.strip()}: {v.strip()}" for k, v in named) + r.element("</p>")
 
-    for _ in range(4):  # innermost first
-        before = r.text
-        r.sub(r"(?<![\w}{])\{\{\s*([A-Za-z#][^{}]{0,2000})\}\}", template, "wiki")
-        if r.text == before:
-            break
+    if "{{" in r.text:
+        _templates(r, template)
 
     def table(m):
         rows, cells = [], []
@@ -200,27 +296,37 @@ def _wiki(r: Rewriting) -> None:
             elif line and cells:
                 cells[-1] += " " + line
         rows += [cells] * bool(cells)
-        tag = r.element
-        return tag("<table>") + "".join(tag("<tr>") + "".join(tag("<td>") + c + tag("</td>") for c in row) + tag("</tr>") for row in rows) + tag("</table>") + "\n"
+        return rows_of(r, rows) + "\n"
 
     r.sub(r"^[ \t]*(\{\|[^\n]*(?:\n(?![ \t]*\|\})[^\n]*)*)(?:\n[ \t]*\|\}[ \t]*\n?|\Z)", table, "wiki", re.M)
     r.sub(r"^(={2,6})[ \t]*([^=\n][^\n]*?)[ \t]*\1[ \t]*$", lambda m: r.wrap(f"h{len(m[1])}", m[2]), "wiki", re.M)
-    r.sub(r"(?<![\w\]])\[\[(?!\s)([^\[\]\n]{1,300})\]\]", lambda m: "" if m[1].lower().startswith("category:") else m[1].rsplit("|", 1)[-1] if m[1].lower().startswith(("file:", "image:")) and "|" in m[1] else m[1].split("|", 1)[-1], "wiki")
-    r.sub(r"(?<![\w'])('{5}|'''|'')(?=[^\s'])([^\n]{0,400}?[^\s'])\1(?!')", lambda m: m[2], "wiki")
+    r.sub(r"(?<![\w\]])\[\[(?!\s)([^\[\]\n]+)\]\]", lambda m: "" if m[1].lower().startswith("category:") else m[1].rsplit("|", 1)[-1] if m[1].lower().startswith(("file:", "image:")) and "|" in m[1] else m[1].split("|", 1)[-1], "wiki")
+    for marks in (5, 3, 2):
+        unmarked(r, "wiki", "'" * marks, rf"(?<![\w'])'{{{marks}}}(?=[^\s'])", rf"(?<=[^\s'])'{{{marks}}}(?!')")
     r.sub(r"(?<![\w\]\)])\[https?://[^\s\]]+ ([^\]\n]+)\](?!\()", lambda m: m[1], "wiki")
+    if r.pieces["wiki"]:
+        r.sub(WIKI_LIST, lambda m: _wiki_list(m, r), "wiki")
 
 
 def _heading_like(line: str) -> bool:
-    return not line.strip() or line.startswith((OPEN, "#", ">")) or bool(re.match(r"\s{0,3}(?:[-*+]\s|\d{1,3}[.)]\s)", line)) or bool(re.fullmatch(r"[-=*_]{3,}\s*", line))
+    return not line.strip() or line.startswith(OPEN) or bool(re.match(r"\s{0,3}\d{1,3}[.)]\s", line)) or bool(re.fullmatch(r"[-=*_]{3,}\s*", line))
+
+
+def _new_sentence(before: str, line: str) -> bool:
+    """Whether a marked line opens with a sentence of its own, so its sign is no minus, times or greater in a formula that was wrapped."""
+    return bool(re.search(r"[.!?:][\"')\]]*\s*$", before[-20:]) and re.match(r"\s*[-*+>][ \t]+[\"'(]?[A-Z]", line))
 
 
 def _markdown(r: Rewriting) -> None:
     lines, out, i = r.text.split("\n"), [], 0
     tag = r.element
+    indents: list[int] = []  # of the items that the next one may be nested in
     cells = lambda x: [c.strip() for c in x.strip().strip("|").split("|")]
     while i < len(lines):
         line = lines[i]
         follows = out[-1] if out else ""
+        if line.strip() and line[0] not in " \t" and not re.match(r"[-*+][ \t]", line):
+            indents = [0] if re.match(r"\d{1,3}[.)][ \t]", line) else []
         if m := re.match(r" {0,3}(#{1,6})[ \t]+(\S.*?)[ \t]*#*[ \t]*$", line):
             r.pieces["markdown"] += 1
             out.append(r.wrap(f"h{len(m[1])}", m[2]))
@@ -231,13 +337,17 @@ def _markdown(r: Rewriting) -> None:
             while i < len(lines) and "|" in lines[i] and lines[i].strip():
                 rows.append(cells(lines[i]))
                 i += 1
-            out.append(tag("<table>") + "".join(tag("<tr>") + "".join(tag("<td>") + c + tag("</td>") for c in row) + tag("</tr>") for row in rows) + tag("</table>"))
+            out.append(rows_of(r, rows))
             continue
-        elif re.match(r" {0,3}[-*+][ \t]+\S", line) and not re.fullmatch(r"\s*- \S{1,6} -\s*", line) and not re.fullmatch(r"\s*(?:[-*+] ?){3,}\s*", line) and _heading_like(follows) and not re.match(r"\s*[-*+]\s+\d[\d.,]*\s*$", line):
+        elif re.match(r"[ \t]*[-*+][ \t]+\S" if indents else r" {0,3}[-*+][ \t]+\S", line) and not re.fullmatch(r"\s*- \S{1,6} -\s*", line) and not re.fullmatch(r"\s*(?:[-*+] ?){3,}\s*", line) and (_heading_like(follows) or _new_sentence(follows, line)) and not re.match(r"\s*[-*+]\s+\d[\d.,]*\s*$", line):
             r.pieces["markdown"] += 1
             mark = re.match(r"\s*([-*+])[ \t]+", line)
-            out.append(tag("<li>") + line[mark.end() :] + tag("</li>"))
-        elif re.match(r" {0,3}>[ \t]+\S", line) and _heading_like(follows):
+            width = len(line[: mark.start(1)].expandtabs(4))
+            while indents and width < indents[-1] + 2:
+                indents.pop()
+            out.append(item(r, line[mark.end() :], len(indents)))
+            indents.append(width)
+        elif re.match(r" {0,3}>[ \t]+\S", line) and (_heading_like(follows) or _new_sentence(follows, line)):
             r.pieces["markdown"] += 1
             out.append(tag("<blockquote>") + re.sub(r"^ {0,3}>[ \t]*", "", line) + tag("</blockquote>"))
         elif re.fullmatch(r" {0,3}(?:=+|-{3,})[ \t]*", line) and len(line.strip()) >= 3 and follows.strip() and not follows.startswith(OPEN) and len(follows) <= 80 and (len(out) < 2 or not out[-2].strip()):
@@ -253,23 +363,24 @@ def _markdown(r: Rewriting) -> None:
             out.append(line)
         i += 1
     r.text = "\n".join(out)
-    r.sub(r"!\[([^\]\n]{0,300})\]\((?:[^()\n]|\([^()\n]*\)){1,2000}\)", lambda m: m[1], "markdown")
-    r.sub(r"\[([^\]\n]{1,300})\]\((?=[^)\s])(?:[^()\n]|\([^()\n]*\)){1,2000}\)", lambda m: m[1], "markdown")
+    url = r"\((?=[^)\s])(?:[^()\n]|\([^()\n]*\))+\)"
+    r.sub(rf"!\[((?:[^\[\]\n]|\[[^\[\]\n]*\])*)\]{url}", lambda m: m[1], "markdown")
+    r.sub(rf"\[((?:[^\[\]\n]|\[[^\[\]\n]*\])+)\]{url}", lambda m: m[1], "markdown")
     r.sub(r"\[\^[^\]\s]{1,20}\]", "", "markdown")
-    inner = r"(?=[^\s*])([^\n]{0,400}?[^\s*])"
-    r.sub(rf"(?<![\w*\\])(\*\*\*|\*\*){inner}\1(?![\w*])", lambda m: m[2], "markdown")
-    r.sub(r"(?<![\w_\\])(__)(?=[^\s_])([^\n]{0,400}?[^\s_])\1(?![\w_])", lambda m: None if re.fullmatch(r"(?:init|main|name|file|doc|all|call|new|del|str|repr|len|iter|dict|version)", m[2]) else m[2], "markdown")
-    r.sub(r"~~(?=[^\s~])([^\n]{0,400}?[^\s~])~~", lambda m: m[1], "markdown")
-    r.sub(r"(?<![\w*\\])\*(?=[^\s*])([^*\n]{0,200}?[^\s*])\*(?![\w*])", lambda m: m[1], "markdown")
-    r.sub(r"(?<![\w_\\])_(?=[^\s_])([^_\n]{0,200}?[^\s_])_(?![\w_])", lambda m: m[1], "markdown")
+    for marks in (3, 2):
+        unmarked(r, "markdown", "*" * marks, rf"(?<![\w*\\])\*{{{marks}}}(?=[^\s*])", rf"(?<=[^\s*])\*{{{marks}}}(?![\w*])")
+    unmarked(r, "markdown", "__", r"(?<![\w_\\])__(?=[^\s_])", r"(?<=[^\s_])__(?![\w_])", keep=lambda x: re.fullmatch(r"init|main|name|file|doc|all|call|new|del|str|repr|len|iter|dict|version", x))
+    unmarked(r, "markdown", "~~", r"~~(?=[^\s~])", r"(?<=[^\s~])~~")
+    unmarked(r, "markdown", "*", r"(?<![\w*\\])\*(?=[^\s*])", r"(?<=[^\s*])\*(?![\w*])", r"\*")
+    unmarked(r, "markdown", "_", r"(?<![\w_\\])_(?=[^\s_])", r"(?<=[^\s_])_(?![\w_])", "_")
     r.sub(r"<(https?://[^\s<>]+)>", lambda m: m[1], "markdown")
 
 
 class Node:
-    __slots__ = ("name", "children", "shown")
+    __slots__ = ("name", "children", "shown", "level", "mark")
 
     def __init__(self, name: str, shown: bool = True):
-        self.name, self.children, self.shown = name, [], shown
+        self.name, self.children, self.shown, self.level, self.mark = name, [], shown, None, None
 
 
 def build(r: Rewriting) -> Node:
@@ -313,6 +424,8 @@ def build(r: Rewriting) -> Node:
             close({"p"}, {"table", "td", "th", "li", "div", "blockquote"})
         hidden = name in HIDDEN or bool(re.search(r"\bhidden\b(?!\s*=\s*[\"']?false)", re.sub(r"\w+\s*=\s*(?:\"[^\"]*\"|'[^']*')", "", attributes))) or "display:none" in attributes.replace(" ", "") or "visibility:hidden" in attributes.replace(" ", "")
         node = Node(name, not hidden)
+        if name == "li" and (own := re.fullmatch(r'\s+level="(\d+)" mark="([^"]+)"', m[3] or "")):
+            node.level, node.mark = int(own[1]), own[2]
         open_[-1].children.append(node)
         if name not in VOID and not m[4] and len(open_) < DEEPEST:
             open_.append(node)
@@ -420,7 +533,7 @@ def lay_out(root: Node) -> tuple[str, dict]:
             seen["items"] += 1
             if number is not None:
                 number[0] += 1
-            out.append("  " * max(0, depth - 1) + (f"{number[0]}. " if number is not None else "• "))
+            out.append("  " * (max(0, depth - 1) if child.level is None else child.level) + (f"{child.mark} " if child.mark else f"{number[0]}. " if number is not None else "• "))
             for c in child.children:
                 emit(c, False, depth)
             gap(1)

@@ -83,6 +83,16 @@ CLEAN = [
     ("\\section{Start}\nSee \\textbf{this}~\\cite{k1} and $a_1 = \\frac{b}{c}$.\n\\begin{itemize}\n\\item one\n\\end{itemize}", "Start\n\nSee this [k1] and $a_1 = \\frac{b}{c}$.\n\n• one", ("latex",)),
     ("\\begin{equation}\nx = y\n\\end{equation}", "$$x = y$$", ("latex",)),
     ("at \\(k = 1\\) now", "at $k = 1$ now", ("latex",)),
+    ("- a\n  - b\n    - c\n- d", "• a\n  • b\n    • c\n• d", ("markdown",)),
+    ("1. one\n   - sub\n2. two", "1. one\n  • sub\n2. two", ("markdown",)),
+    ("The run ends. \n> It is a quote of a line.\n\nx", "The run ends.\n\nIt is a quote of a line.\n\nx", ("markdown",)),
+    ("a < b and c\n> d in each run; x**2\n+ y**2, 5\n* 3 cells", None, ()),
+    ("'''Bold''' text\n* one\n** two\n** three\n* four", "Bold text\n• one\n  • two\n  • three\n• four", ("wiki",)),
+    ("[[page]] lists\n# first\n# second", "page lists\n1. first\n2. second", ("wiki",)),
+    ("\\begin{tabular}{l|r}\n\\hline\nrun & value \\\\\n\\hline\n1 & 22 \\\\\n\\end{tabular}", "run  value\n1    22", ("latex",)),
+    ("x " + "**" + "long " * 300 + "end** and *" + "it " * 300 + "is* y", "x " + "long " * 300 + "end and " + "it " * 300 + "is y", ("markdown",)),
+    ("see \\footnote{" + "note " * 3000 + "so} there", "see " + "note " * 3000 + "so there", ("latex",)),
+    ("$$" + "a + " * 4000 + "b$$", "$$" + "a + " * 4000 + "b$$", ("latex",)),
     ("• bullet\n- 104 -\n3 Heading\nkey: v | key: w", None, ()),
     ("", None, ()),
 ]
@@ -387,7 +397,7 @@ def test_exponents():
     assert mix.exponent_for_entropy(shares, 5.0) == 0
 
 
-@pytest.mark.parametrize("piece", ["<b>", "</p>", "<li>x", "<table><tr><td>", "\\textbf{a \\emph{b}} ", "\\frac{", "\\[", "$$", "`", "**a", "{{x", "[[a", "| a | b |\n|---|---|\n", "> q\n", "''", "&amp;", "<!-- "])
+@pytest.mark.parametrize("piece", ["<b>", "</p>", "<li>x", "<table><tr><td>", "\\textbf{a \\emph{b}} ", "\\frac{", "\\[", "$$", "`", "**a", "{{x", "[[a", "| a | b |\n|---|---|\n", "> q\n", "''", "&amp;", "<!-- ", "{{x}} {{y ", "\\(", "\\begin{equation}", "*a ", "_a ", "__a ", "[a](", "![", "\\x[", "- a\n  - b\n", "* a\n** b\n", "\\begin{tabular}{l} a & b ", "}}", "{{a|b={{c|"])
 def test_markup_of_long_texts_ends(piece):
     import time
 
