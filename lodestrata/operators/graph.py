@@ -42,6 +42,12 @@ def edges(links: DataFrame) -> DataFrame:
     return count_pairs(links).withColumnRenamed("n", "weight")
 
 
+def edges_within(links: DataFrame, *groups: Column) -> DataFrame:
+    """The group columns and ``a, b, weight``: edges by what each group of records adds, from ``entity, record``. A record is in one group."""
+    met = meetings(sharing(links.select("record", "entity"), "record"), "record", "entity", BLOCK)
+    return met.groupBy(*groups, F.least("entity_p", "entity_q").alias("a"), F.greatest("entity_p", "entity_q").alias("b")).agg(F.count(F.lit(1)).alias("weight"))
+
+
 def add_edges(*parts: DataFrame) -> DataFrame:
     """Edge tables summed, each pair in one order; loops and rows with nulls are left out."""
     out = None

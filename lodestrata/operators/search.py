@@ -7,11 +7,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestrata.functions.text import let
 from lodestrata.operators import graph as G
 
 DIMENSIONS = 256
-#: Queries that go to the executors at a time.
-QUERY_BLOCK = 20_000
+#: Of the queries that go to the executors at a time, and of the distances that a task holds.
+BLOCK_BYTES = 64 << 20
 
 
 def squared_distance(vector: Column, query: list[float]) -> Column:
@@ -27,16 +28,47 @@ def nearest(vectors: DataFrame, query: list[float], k: int = 5, key: str = "vec_
     return best.select(F.row_number().over(Window.orderBy("distance", key)).alias("rank"), key, "distance")  # k rows
 
 
-def nearest_to_each(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id", vector: str = "embedding", block: int = QUERY_BLOCK) -> DataFrame:
+def _nearest_in(batches, names: np.ndarray, points: np.ndarray, k: int):
+    """The k rows of a task nearest to each point.
+
+    One matrix product finds the rows that can be among the k nearest, with a margin for its rounding; only those are measured by their differences,
+    which decides. So the result is that of measuring all.
+    """
+    squares = (points**2).sum(axis=1)
+    at, far, who = np.zeros(0, np.int64), np.zeros(0), None
+    for batch in batches:
+        if not len(batch):
+            continue
+        them, keys = np.array(batch["v"].tolist(), float), batch["key"].to_numpy()
+        norms, step = (them**2).sum(axis=1), max(1, BLOCK_BYTES // (8 * len(keys)))
+        for i in range(0, len(names), step):
+            total = squares[i : i + step, None] + norms[None, :]
+            rough = total - 2 * points[i : i + step] @ them.T
+            limit = np.partition(rough, k - 1, axis=1)[:, k - 1 : k] if len(keys) > k else np.inf
+            row, column = np.nonzero(rough <= limit + 1e-12 * points.shape[1] * total)
+            at = np.concatenate([at, row + i])
+            far = np.concatenate([far, ((points[row + i] - them[column]) ** 2).sum(axis=1)])
+            who = keys[column] if who is None else np.concatenate([who, keys[column]])
+        order = np.lexsort((who, far, at))
+        first = np.searchsorted(at[order], at[order], "left")
+        order = order[np.arange(len(order)) - first < k]
+        at, far, who = at[order], far[order], who[order]
+    if len(at):
+        yield pd.DataFrame({"query": names[at], "key": who, "distance": far})
+
+
+def nearest_to_each(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id", vector: str = "embedding", block: int | None = None) -> DataFrame:
     """``query, rank, <key>, distance``: the k nearest of all rows for every query, itself included, ties by key.
 
-    The queries go out in blocks of bounded size; within a task a block meets each batch of rows in one matrix product, and only its k best leave the
-    task.
+    The queries go out in blocks of BLOCK_BYTES; within a task a block meets each batch of rows, and only its k best leave the
+    task. Rows without vector, or of another length than the queries', are left out.
     """
     spark = vectors.sparkSession
-    rows = vectors.select(F.col(key).alias("key"), F.col(vector).alias("v")).dropna()
     asked = queries.select(F.col(key).alias("key"), F.col(vector).alias("v")).dropna()
-    number = max(1, -(-asked.count() // block))
+    total, width = asked.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
+    rows = vectors.select(F.col(key).alias("key"), F.col(vector).alias("v")).dropna().filter(F.size("v") == width)
+    asked = asked.filter(F.size("v") == width)
+    number = max(1, -(-total // (block or max(1, BLOCK_BYTES // (8 * max(1, width))))))
     kind = dict(rows.dtypes)["key"]
     found = None
     for b in range(number):
@@ -47,22 +79,7 @@ def nearest_to_each(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str
         shared = spark.sparkContext.broadcast((local["key"].to_numpy(), np.array(local["v"].tolist(), float)))
 
         def work(batches, shared=shared):
-            names, points = shared.value
-            best_d, best_k = np.full((len(names), 0), np.inf), None
-            for batch in batches:
-                if not len(batch):
-                    continue
-                them = np.array(batch["v"].tolist(), float)
-                keys = batch["key"].to_numpy()
-                d = np.empty((len(names), len(keys)))
-                for i in range(0, len(names), 256):
-                    d[i : i + 256] = ((points[i : i + 256, None, :] - them[None, :, :]) ** 2).sum(axis=2) if len(keys) * 256 * them.shape[1] < 3e7 else np.maximum((points[i : i + 256] ** 2).sum(axis=1)[:, None] + (them**2).sum(axis=1)[None, :] - 2 * points[i : i + 256] @ them.T, 0)
-                all_k = np.broadcast_to(keys, d.shape) if best_k is None else np.concatenate([best_k, np.broadcast_to(keys, d.shape)], axis=1)
-                all_d = d if best_k is None else np.concatenate([best_d, d], axis=1)
-                order = np.lexsort((all_k, all_d), axis=1)[:, :k]
-                best_d, best_k = np.take_along_axis(all_d, order, 1), np.take_along_axis(all_k, order, 1)
-            if best_k is not None:
-                yield pd.DataFrame({"query": np.repeat(names, best_k.shape[1]), "key": best_k.ravel(), "distance": best_d.ravel()})
+            return _nearest_in(batches, *shared.value, k)
 
         one = rows.mapInPandas(work, f"query {kind}, key {kind}, distance double")
         found = one if found is None else found.unionByName(one)
@@ -108,14 +125,34 @@ def lexical_similarity(text: Column, query: str, dimensions: int = DIMENSIONS) -
     return F.aggregate(ordered, state, step, lambda s: F.when(s["squares"] > 0, s["dot"] / (F.sqrt(s["squares"].cast("double")) * norm)).otherwise(0.0))
 
 
-def search_text(chunks: DataFrame, query: str, k: int = 5, key: str = "id", text: str = "document") -> DataFrame:
+def similarity_to(text: Column, query: str, embed=None, spark=None) -> Column:
+    """The likeness of a text to the query: lexical, or the cosine of their embeddings; 0 if either has none."""
+    if embed is None:
+        return lexical_similarity(text, query)
+    asked = spark.createDataFrame([(query,)], "q string").select(embed(F.col("q"))).first()[0] or []
+    point = F.array(*[F.lit(float(x)) for x in asked])
+    norm = float(np.sqrt(sum(float(x) ** 2 for x in asked)))
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y), F.lit(0.0), lambda s, x: s + x)
+    return let(embed(text), lambda v: F.coalesce(dot(v, point) / F.nullif(F.sqrt(dot(v, v)) * norm, F.lit(0.0)), F.lit(0.0))) if norm else F.lit(0.0)
+
+
+def search_text(chunks: DataFrame, query: str, k: int = 5, key: str = "id", text: str = "document", embed=None) -> DataFrame:
     """``rank, <key>, similarity``: the k texts most like the query; rows of one key count once, null texts never match."""
     rows = chunks.select(key, F.col(text).alias("text")).dropna().distinct()
-    scored = rows.select(key, F.round(lexical_similarity(F.col("text"), query), 9).alias("similarity"))
+    scored = rows.select(key, F.round(similarity_to(F.col("text"), query, embed, chunks.sparkSession), 9).alias("similarity"))
     best = scored.orderBy(F.desc("similarity"), key).limit(k)
     return best.select(F.row_number().over(Window.orderBy(F.desc("similarity"), key)).alias("rank"), key, "similarity")  # k rows
 
 
+def best_texts(chunks: DataFrame, query: str, k: int = 5, embed=None) -> DataFrame:
+    """``rank, id, source, similarity, document`` of the k chunks most like the query; chunks of one id in two sources are two."""
+    rows = chunks.select("id", "source", "document").dropna(subset=["id", "document"])
+    order = [F.desc("similarity"), F.asc("id"), F.asc("source"), F.asc("document")]
+    scored = rows.withColumn("similarity", F.round(similarity_to(F.col("document"), query, embed, chunks.sparkSession), 9))
+    best = scored.distinct().orderBy(*order).limit(k)
+    return best.select(F.row_number().over(Window.orderBy(*order)).alias("rank"), "id", "source", "similarity", "document")  # k rows
+
+
 def expanded_query(graph: DataFrame, query: str, entities: list[str], hops: int = 2, top_n: int = 10) -> str:
     """The query followed by the concepts its entities lead to; at most ``top_n`` names come to the driver."""
     more = [r["concept"] for r in G.expand(graph, entities, hops, top_n).orderBy("rank").collect()]

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestrata.operators.store import latest
+from lodestrata.session import settle
+from lodestrata.sources.partitioned import PartitionedTable
 
 
 def read_chunks(spark: SparkSession, folder: str, schema) -> DataFrame:
@@ -13,17 +15,26 @@ def read_chunks(spark: SparkSession, folder: str, schema) -> DataFrame:
     return spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(folder)
 
 
-def upsert_stream(rows: DataFrame, store: str, checkpoint: str, keys: tuple[str, ...] = ("collection_name", "id"), order: tuple[str, ...] = ("ingested_at", "mtime")):
-    """Starts a query that merges each batch into the versions of the store under ``store``.
+def stored(spark: SparkSession, store: str, shape: str, keys: tuple[str, ...] = ("collection_name", "id"), parts: int = 64) -> PartitionedTable:
+    """The table that upsert_stream keeps; ``read`` gives its rows."""
+    return PartitionedTable(spark, store, shape, keys, parts)
 
-    A batch writes version n + 1 beside version n and is done once it is there; a batch that runs again after a failure finds
-    its version, named after its number, and writes it anew, so nothing is lost or counted twice.
+
+def upsert_stream(rows: DataFrame, store: str, checkpoint: str, keys: tuple[str, ...] = ("collection_name", "id"), order: tuple[str, ...] = ("ingested_at", "mtime"), parts: int = 64):
+    """Starts a query that merges each batch into the table under ``store``.
+
+    Of the table only the parts are read and written that the batch has keys of. A batch is the version of its number; one that runs again after a
+    failure finds its version finished and leaves it, or writes it anew, so nothing is lost or counted twice.
     """
+    shape = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
 
     def merge(batch: DataFrame, number: int) -> None:
-        before = f"{store}/version={number - 1}"
-        whole = batch if number == 0 else batch.sparkSession.read.parquet(before).unionByName(batch)
-        latest(whole, list(keys), list(order)).write.mode("overwrite").parquet(f"{store}/version={number}")
+        table = stored(batch.sparkSession, store, shape, keys, parts)
+        if number in table.versions():
+            return
+        batch = settle(batch)
+        touched = table.touched(batch)
+        table.write(latest(table.read(touched).unionByName(batch), list(keys), list(order)), touched, number)
 
     return rows.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

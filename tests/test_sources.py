@@ -55,4 +55,9 @@ def test_stream_upserts(spark, tmp_path):
         df = spark.createDataFrame(rows, "collection_name string, id string, document string").selectExpr("*", f"timestamp'2024-01-0{n + 1}' ingested_at", f"{float(n)}D mtime")
         df.coalesce(1).write.parquet(f"{inbox}/{n}")
         upsert_stream(read_chunks(spark, inbox, schema), store, mark).awaitTermination()
-    assert {r["id"]: r["document"] for r in spark.read.parquet(f"{store}/version=1").collect()} == {"a": "new", "b": "b"}
+    from lodestrata.streaming.intake import stored
+
+    table = stored(spark, store, schema)
+    assert {r["id"]: r["document"] for r in table.read().collect()} == {"a": "new", "b": "b"}
+    touched = table.versions()
+    assert set(touched) == {0, 1} and len(touched[1]) == 1  # the second batch left the other part alone
