@@ -25,9 +25,11 @@ def upsert(stored: DataFrame, incoming: DataFrame, keys: list[str], order: list[
     return latest(stored.unionByName(incoming, allowMissingColumns=True), keys, order)
 
 
-def replace_sources(stored: DataFrame, incoming: DataFrame, keys: tuple[str, ...] = ("collection_name", "source")) -> DataFrame:
-    """Stored rows of sources that do not come in again, and all incoming ones: a file that shrank leaves no old tail."""
-    gone = incoming.select(*keys).distinct()
+def replace_sources(stored: DataFrame, incoming: DataFrame, keys: tuple[str, ...] = ("collection_name", "source"), taken: DataFrame | None = None) -> DataFrame:
+    """Stored rows of sources that do not come in again, and all incoming ones: a file that shrank leaves no old tail.
+
+    ``taken`` are the keys of all that was taken in, of which some may have given no rows; without it they are those of the incoming rows."""
+    gone = (incoming if taken is None else taken).select(*keys).distinct()
     return stored.join(gone, list(keys), "left_anti").unionByName(incoming)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestrata.functions import clean as C
@@ -17,6 +17,7 @@ from lodestrata.operators import segment as K
 from lodestrata.operators import store as R
 from lodestrata.session import table
 from lodestrata.sources import files as I
+from lodestrata.sources.json_store import manifest_json, read_manifest
 
 QUERY = "thermal relaxation of the laminar vortex in the resonant cavity"
 ASKED = ["time step", "error bound", "boundary condition", "plastic magnet"]
@@ -78,17 +79,27 @@ def q_upsert_latest(spark, folder):
     return R.latest(rows, ["collection_name", ID], ["ingested_at", "mtime"])
 
 
+def _changed(spark, folder):
+    return R.file_status(table(spark, folder, "raw_files"), table(spark, folder, "manifest")).filter("status = 'changed'").select("source", F.col("mtime").alias("new"))
+
+
 def q_replace_sources(spark, folder):
-    rows = table(spark, folder, "chunks").select("collection_name", ID, "source", "chunk_index").distinct()
-    changed = R.file_status(table(spark, folder, "raw_files"), table(spark, folder, "manifest")).filter("status = 'changed'").select("source")
-    again = rows.join(changed, "source", "left_semi").filter("chunk_index < 2").select(*rows.columns)
+    rows = table(spark, folder, "chunks").select("collection_name", ID, "source", "chunk_index", "mtime").distinct()
+    again = rows.join(_changed(spark, folder), "source").select("collection_name", ID, "source", "chunk_index", F.col("new").alias("mtime")).distinct()
     return R.replace_sources(rows, again)
 
 
+def q_reingest_shrunk(spark, folder):
+    """All changed files are taken in again, and only the PDF files among them still give chunks."""
+    rows = table(spark, folder, "chunks").select("collection_name", ID, "source").distinct()
+    again = rows.join(_changed(spark, folder).select("source"), "source", "left_semi").select(*rows.columns)
+    return R.replace_sources(rows, again.filter(M.suffix(F.col("source")) == "pdf"), taken=again)
+
+
 def q_ingest_texts(spark, folder):
     stored = table(spark, folder, "chunks").select("collection_name", ID, "document").distinct()
     texts = table(spark, folder, "documents").select(F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias(ID), F.col("text").alias("document"))
-    return R.ingest_texts(stored, texts).groupBy("collection_name").agg(F.count(F.lit(1)).alias("rows"))
+    return R.ingest_texts(stored, texts).select("collection_name", ID, "document")
 
 
 def q_manifest_diff(spark, folder):
@@ -100,7 +111,7 @@ def q_ingest_counters(spark, folder):
 
 
 def q_manifest_roundtrip(spark, folder):
-    return R.next_manifest(table(spark, folder, "raw_files"), table(spark, folder, "manifest"))
+    return read_manifest(manifest_json(R.next_manifest(table(spark, folder, "raw_files"), table(spark, folder, "manifest"))))
 
 
 def q_boilerplate(spark, folder):
@@ -205,6 +216,24 @@ def q_smart_chunk(spark, folder):
     return K.smart_chunks(docs(spark, folder), ID, "document")
 
 
+def q_orphans_made(spark, folder):
+    """q_orphan_merge over texts in which sentences refer to what came before, as few of the collection do."""
+    made = docs(spark, folder).select(ID, F.replace("document", F.lit(". The "), F.lit(". Therefore, the ")).alias("document"))
+    chunks = K.section_chunks(F.col("lines"), 60, 2)
+    return K.section_rows(made, ID, "document", True).select(ID, "section_no", F.posexplode(chunks).alias("chunk_no", "chunk"))
+
+
+def q_noise_made(spark, folder):
+    """The noise filter over tables of contents and lists of links made from the file names, as the collection has none."""
+    files = table(spark, folder, "raw_files").select("source", F.max(F.col("length") % 4).over(Window.partitionBy("source")).cast("int").alias("kind")).distinct()
+    name = F.substring("source", 1, 40)
+    entry, link = F.concat(F.lit("1.2 "), name, F.lit(" ....... 17\n")), F.concat(F.lit("https://example.org/"), F.replace("source", F.lit(" "), F.lit("_")), F.lit("\n"))
+    many = F.coalesce("kind", F.lit(0))
+    text = F.concat(F.repeat(entry, many), F.repeat(link, 3 - many), F.lit("One line of text.\n"))
+    made = files.select("source", text.alias("text"))
+    return made.select("source", S.toc_dominated(F.col("text")).alias("toc"), S.url_dominated(F.col("text")).alias("urls"), S.is_meaningful(F.col("text")).alias("keep"))
+
+
 def q_chunks_per_doc(spark, folder):
     return q_smart_chunk(spark, folder).groupBy(ID).agg(F.count(F.lit(1)).alias("chunks"))
 

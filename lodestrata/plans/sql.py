@@ -256,11 +256,12 @@ SQL = {f"q_clean_{name}": f"WITH {DOCS} SELECT id, {step('document')} AS text FR
     "q_cache_hit": f"WITH {FILES}, c AS (SELECT source, max(mtime) AS cached FROM manifest WHERE mtime IS NOT NULL GROUP BY source) SELECT o.source, CASE WHEN cached IS NULL THEN 'missing' WHEN cached >= mtime THEN 'hit' ELSE 'stale' END AS status FROM once o LEFT JOIN c USING (source)",
     "q_cache_misaligned": f"WITH d AS (SELECT DISTINCT id, source, document FROM chunks) SELECT id, source, len(regexp_extract_all(lower({stem('source')}), '[a-z]{{4,}}')) > 0 AND len(list_filter(regexp_extract_all(lower({stem('source')}), '[a-z]{{4,}}'), lambda w: contains(lower(array_to_string(list_slice(string_split_regex(document, {lit(P.LINE_BREAK)}), 1, 200), chr(10))), w))) = 0 AS flag FROM d",
     "q_upsert_latest": "SELECT collection_name, id, document, source, mtime, ingested_at FROM (SELECT *, row_number() OVER (PARTITION BY collection_name, id ORDER BY ingested_at DESC NULLS LAST, mtime DESC NULLS LAST, document DESC, source DESC) AS r FROM chunks) WHERE r = 1",
-    "q_replace_sources": f"WITH {STATUS}, k AS (SELECT DISTINCT collection_name, id, source, chunk_index FROM chunks), gone AS (SELECT DISTINCT collection_name, source FROM k WHERE chunk_index < 2 AND source IN (SELECT source FROM status WHERE status = 'changed')) SELECT k.* FROM k LEFT JOIN gone g ON k.collection_name = g.collection_name AND k.source = g.source WHERE g.source IS NULL OR chunk_index < 2",
-    "q_ingest_texts": "SELECT collection_name, count(*) AS rows FROM (SELECT DISTINCT collection_name, id, document FROM chunks WHERE NOT (collection_name = 'default' AND id IN (SELECT 'doc' || doc_id FROM documents)) UNION ALL SELECT 'default', 'doc' || doc_id, text FROM documents) GROUP BY collection_name",
+    "q_replace_sources": f"WITH {STATUS}, changed AS (SELECT source, mtime FROM status WHERE status = 'changed'), k AS (SELECT DISTINCT collection_name, id, source, chunk_index, mtime FROM chunks) SELECT * FROM k WHERE source IS NULL OR source NOT IN (SELECT source FROM changed) UNION ALL SELECT DISTINCT collection_name, id, source, chunk_index, c.mtime FROM k JOIN changed c USING (source)",
+    "q_reingest_shrunk": f"WITH {STATUS} SELECT DISTINCT collection_name, id, source FROM chunks WHERE source IS NULL OR {suffix('source')} = 'pdf' OR source NOT IN (SELECT source FROM status WHERE status = 'changed')",
+    "q_ingest_texts": "SELECT DISTINCT collection_name, id, document FROM chunks WHERE NOT (collection_name = 'default' AND id IN (SELECT 'doc' || doc_id FROM documents)) UNION ALL SELECT 'default', 'doc' || doc_id, text FROM documents",
     "q_manifest_diff": f"WITH {STATUS} SELECT source, mtime, status FROM status",
     "q_ingest_counters": f"WITH {STATUS} SELECT status, count(*) AS files FROM status GROUP BY status",
-    "q_manifest_roundtrip": "SELECT source, max(mtime) AS mtime FROM (SELECT source, mtime FROM manifest UNION ALL SELECT source, mtime FROM raw_files) GROUP BY source",
+    "q_manifest_roundtrip": "SELECT source, max(mtime) AS mtime FROM (SELECT source, mtime FROM manifest UNION ALL SELECT source, mtime FROM raw_files) WHERE source IS NOT NULL GROUP BY source",
     "q_boilerplate": f"SELECT heading, {has(strip(sub('heading', P.EMPHASIS)), P.BOILERPLATE)} AS flag FROM (SELECT DISTINCT coalesce(heading, '') AS heading FROM chunks)",
     "q_heading_lines": HEADED + f" SELECT id, pos, line, {sub('t', P.ATX_MARK)} AS heading FROM hl WHERE h",
     "q_prose_words": f"WITH {DOCS}, {noise('docs', 'document', 'id')} SELECT id, prose AS n FROM judged",
@@ -282,6 +283,8 @@ SQL = {f"q_clean_{name}": f"WITH {DOCS} SELECT id, {step('document')} AS text FR
     "q_sentences": SENTENCES + " SELECT p.id, section_no, k - 1 AS place, sentence FROM sents p JOIN sections s ON p.id = s.id AND p.sec = s.sec",
     "q_chunk_fold": fold(60) + " SELECT r.id, section_no, chunk_no, first, last FROM numbered r JOIN sections s ON r.id = s.id AND r.sec = s.sec",
     "q_orphan_merge": merged(60) + " SELECT f.id, section_no, chunk_no, chunk FROM final f JOIN sections s ON f.id = s.id AND f.sec = s.sec",
+    "q_orphans_made": merged(60).replace(DOCS, "docs AS (SELECT DISTINCT id, replace(document, '. The ', '. Therefore, the ') AS document FROM chunks)") + " SELECT f.id, section_no, chunk_no, chunk FROM final f JOIN sections s ON f.id = s.id AND f.sec = s.sec",
+    "q_noise_made": f"WITH kinds AS (SELECT source, coalesce(max(length % 4), 0)::INT AS k FROM raw_files GROUP BY source), made AS (SELECT source AS id, repeat('1.2 ' || source[1:40] || ' ....... 17' || chr(10), k) || repeat('https://example.org/' || replace(source, ' ', '_') || chr(10), 3 - k) || 'One line of text.' || chr(10) AS document FROM kinds), {noise('made', 'document', 'id')} SELECT id AS source, toc, urls, NOT tables AND NOT toc AND NOT urls AND enough AS keep FROM judged",
     "q_smart_chunk": chunks_sql(500) + " SELECT id, section_no, chunk_no, heading, body FROM smart",
     "q_chunks_per_doc": chunks_sql(500) + " SELECT id, count(*) AS chunks FROM smart GROUP BY id",
     "q_chunk_ids": chunks_sql(500) + " SELECT id AS doc, row_number() OVER w - 1 AS chunk_index, id || '__ch' || (row_number() OVER w - 1) AS id FROM smart WINDOW w AS (PARTITION BY id ORDER BY section_no, chunk_no)",
@@ -297,6 +300,7 @@ SQL = {f"q_clean_{name}": f"WITH {DOCS} SELECT id, {step('document')} AS text FR
     "q_graph_edges": f"WITH {LINKS} SELECT x.entity AS a, y.entity AS b, count(*) AS weight FROM links x JOIN links y ON x.chunk = y.chunk AND x.entity < y.entity GROUP BY 1, 2",
     "q_graph_update": f"WITH {GRAPH} SELECT a, b, weight FROM graph",
     "q_graph_stats": f"WITH {LINKS}, {GRAPH} SELECT (SELECT count(DISTINCT entity) FROM links) AS nodes, (SELECT count(*) FROM graph) AS edges",
+    "q_graph_json": f"WITH {LINKS}, {GRAPH} SELECT json_object('kind', 'node', 'id', entity, 'chunk', chunk)::VARCHAR AS line FROM links UNION ALL SELECT json_object('kind', 'edge', 'source', a, 'target', b, 'weight', weight)::VARCHAR FROM graph",
     "q_graph_topk": f"WITH {GRAPH} SELECT node, neighbour, weight, rank FROM ranked WHERE rank <= 3",
     "q_graph_expand": f"WITH {expand(2)} SELECT concept, score, rank FROM expanded",
     "q_graph_expand_1hop": f"WITH {expand(1)} SELECT concept, score, rank FROM expanded",
