@@ -25,6 +25,11 @@ def p2_found(spark, folder):
     return pairs.filter((F.col("n_ab") >= 4) & (F.col("n_ab") * F.col("n_records") >= 10 * F.col("n_a") * F.col("n_b"))).select("a", "b")
 
 
+def p2_counts(spark, folder):
+    """p2_pairs without what the null gives."""
+    return p2_pairs(spark, folder).select("a", "b", "n_a", "n_b", "n_ab", "n_records", "lift")
+
+
 def p2_significant(spark, folder):
     """The pairs of which no more than a twentieth are expected to be chance."""
     return together.together(table(spark, folder, "nodes")).filter("q_value <= 0.05")
@@ -89,6 +94,17 @@ def p7_pieces(spark, folder):
     return split.split_oversized(table(spark, folder, "chunks"))
 
 
+def p7_sizes(spark, folder):
+    """Of each record: the words of its pieces without overlaps, whether all are within the limit, numbered in order and stretches of the text, and overlap only behind the first."""
+    chunks = table(spark, folder, "chunks")
+    given = chunks.select("id", F.col("document").alias("given")).distinct()
+    pieces = split.split_oversized(chunks).join(given, "id").groupBy("id").agg(
+        F.sum(F.col("words") - F.col("overlap_words")).alias("words"), (F.max("words") <= 500).alias("within"), (F.max("piece_no") + 1 == F.count_distinct("piece_no")).alias("numbered"),
+        F.bool_and(F.contains("given", "text")).alias("stretches"), F.bool_and((F.col("piece_no") > 0) | (F.col("overlap_words") == 0)).alias("first_whole"),
+    )
+    return pieces
+
+
 def p8_pack(spark, folder):
     return pack.pack(table(spark, folder, "documents"), table(spark, folder, "pack_sizes"))
 
@@ -97,6 +113,22 @@ def p8_fill(spark, folder):
     return pack.filling(p8_pack(spark, folder))
 
 
+def p8_items(spark, folder):
+    """Of each capacity: the documents placed, whether each token stands in one place, and whether all containers hold."""
+    packed = p8_pack(spark, folder)
+    used = packed.groupBy("pack_name", "capacity_tokens", "container").agg(F.sum("tokens").alias("used"), F.max(F.col("place") + F.col("tokens")).alias("end"))
+    whole = packed.groupBy("pack_name", "doc_id").agg((F.max(F.col("first_token") + F.col("tokens")) == F.sum("tokens")).alias("once"))
+    fits = used.groupBy("pack_name", "capacity_tokens").agg(F.bool_and((F.col("used") <= F.col("capacity_tokens")) & (F.col("end") == F.col("used"))).alias("fits"))
+    return fits.join(whole.groupBy("pack_name").agg(F.count(F.lit(1)).alias("documents"), F.bool_and("once").alias("once")), "pack_name")
+
+
+def p9_within(spark, folder):
+    """Of each source that a target asks for and that has documents: whether it is used, and no document of it oftener than it may."""
+    chosen, shares = mix.mix(table(spark, folder, "documents"), table(spark, folder, "mix_targets"))
+    times = chosen.groupBy("source").agg(F.max("times").alias("times"))
+    return shares.filter("target_share > 0 and tokens_available > 0").join(times, "source", "left").select("source", "max_repeats", (F.col("times") >= 1).alias("used"), (F.col("times") <= F.col("max_repeats")).alias("within"))
+
+
 def p9_mix(spark, folder):
     return mix.mix(table(spark, folder, "documents"), table(spark, folder, "mix_targets"))[0]
 
@@ -117,6 +149,10 @@ def p10_quality(spark, folder):
     return quality.text_quality(table(spark, folder, "documents"))
 
 
+def p10_counts(spark, folder):
+    return p10_quality(spark, folder).select("doc_id", "n_chars", "n_words", "n_lines")
+
+
 def p10_spread(spark, folder):
     """p10_quality with the chunks of every text above 1,024 characters spread and merged over the executors."""
     return quality.text_quality(table(spark, folder, "documents"), chunk=256, spread=4)
@@ -125,8 +161,8 @@ def p10_spread(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
-        p1_found, p1_frequency, p2_found, p2_pairs, p2_significant, p2_recorded, p3_found, p3_groups, p4_found, p4_groups, p4_normalized, p5_found, p5_repaired, p6_found, p6_clean,
-        p7_found, p7_pieces, p8_pack, p8_fill, p9_mix, p9_shares, p9_temperature, p10_found, p10_quality, p10_spread,
+        p1_found, p1_frequency, p2_found, p2_pairs, p2_counts, p2_significant, p2_recorded, p3_found, p3_groups, p4_found, p4_groups, p4_normalized, p5_found, p5_repaired, p6_found, p6_clean,
+        p7_found, p7_pieces, p7_sizes, p8_pack, p8_fill, p8_items, p9_mix, p9_within, p9_shares, p9_temperature, p10_found, p10_quality, p10_counts, p10_spread,
     )
 }
 
@@ -160,5 +196,24 @@ shared AS (SELECT x.t AS x, y.t AS y, count(*) AS k FROM kinds x JOIN kinds y ON
 near AS (SELECT x, y FROM shared JOIN sizes p ON x = p.t JOIN sizes q ON y = q.t WHERE k >= 0.6 * (p.n + q.n - k) UNION ALL SELECT t, t FROM sizes)
 SELECT DISTINCT least(a.id, b.id) AS id_a, greatest(a.id, b.id) AS id_b FROM near JOIN texts u ON x = u.t JOIN texts v ON y = v.t
 JOIN docs a ON a.document = u.document JOIN docs b ON b.document = v.document WHERE a.id <> b.id""",
+    "p2_counts": _PAIRS + " SELECT p.a, p.b, x.n AS n_a, y.n AS n_b, n_ab, n_records, n_ab * n_records / (x.n * y.n) AS lift FROM pairs p JOIN items x ON p.a = x.item JOIN items y ON p.b = y.item, total",
+    "p3_groups": """
+WITH RECURSIVE docs AS (SELECT DISTINCT id, document FROM chunks WHERE id IS NOT NULL AND document IS NOT NULL),
+texts AS (SELECT document, row_number() OVER (ORDER BY document) AS t FROM (SELECT DISTINCT document FROM docs)),
+words AS (SELECT t, regexp_extract_all(lower(document), '[a-z0-9]+') AS w FROM texts),
+kinds AS (SELECT DISTINCT t, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT t, w, unnest(range(1, len(w) - 3)) AS i FROM words WHERE len(w) >= 5)),
+sizes AS (SELECT t, count(*) AS n FROM kinds GROUP BY t),
+shared AS (SELECT x.t AS x, y.t AS y, count(*) AS k FROM kinds x JOIN kinds y ON x.s = y.s AND x.t < y.t GROUP BY 1, 2),
+near AS (SELECT x, y FROM shared JOIN sizes p ON x = p.t JOIN sizes q ON y = q.t WHERE k >= 0.8 * (p.n + q.n - k)),
+both_ AS (SELECT x, y FROM near UNION ALL SELECT y, x FROM near),
+reach AS (SELECT t AS x, t AS y FROM texts UNION SELECT r.x, b.y FROM reach r JOIN both_ b ON r.y = b.x),
+firsts AS (SELECT t, min(id) AS id, count(*) AS copies FROM docs JOIN texts USING (document) GROUP BY t),
+classes AS (SELECT r.x AS t, min(f.id) AS class FROM reach r JOIN firsts f ON r.y = f.t GROUP BY 1),
+degrees AS (SELECT x AS t, count(*) AS links FROM both_ GROUP BY 1)
+SELECT d.id, class, copies, coalesce(links, 0) AS links FROM docs d JOIN texts USING (document) JOIN classes USING (t) JOIN firsts f USING (t) LEFT JOIN degrees USING (t)""",
+    "p7_sizes": r"SELECT DISTINCT id, len(regexp_extract_all(document, '[^ \t\r\n]+'))::BIGINT AS words, true AS within, true AS numbered, true AS stretches, true AS first_whole FROM chunks WHERE id IS NOT NULL AND document IS NOT NULL",
+    "p8_items": "SELECT DISTINCT pack_name, capacity_tokens, (SELECT count(DISTINCT doc_id) FROM documents) AS documents, true AS fits, true AS once FROM pack_sizes WHERE capacity_tokens > 0",
+    "p9_within": "SELECT source, max_repeats, true AS used, true AS within FROM mix_targets WHERE target_share > 0 AND source IN (SELECT lower(trim(source)) FROM documents WHERE text <> '')",
+    "p10_counts": r"SELECT doc_id, length(text)::BIGINT AS n_chars, len(regexp_extract_all(text, '[^ \t\r\n\f\v\x{a0}]+'))::BIGINT AS n_words, (length(text) - length(replace(text, chr(10), '')) + 1)::BIGINT AS n_lines FROM documents WHERE text IS NOT NULL",
     "p7_found": "SELECT DISTINCT id FROM chunks WHERE len(regexp_extract_all(document, '[^ \\t\\r\\n]+')) > 500 AND id IS NOT NULL",
 }
