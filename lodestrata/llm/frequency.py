@@ -12,18 +12,19 @@ def normal_term(column):
 
 
 def term_frequencies(
-    rows: DataFrame, term: str = "entity", records: str = "chunks", rare_below: int = 3, common_above: float = 0.1, salts: int = 64
+    rows: DataFrame, term: str = "entity", records: str = "chunks", rare_below: int = 3, common_above: float = 0.1, salts: int | None = None
 ) -> DataFrame:
     """One row a term: ``term, occurrences, records, total_records, is_rare, is_common``.
 
     Last-seen counters: the tokens are hash-partitioned by term, ordered by record, and read once; a term needs only
     its counts and the record it was last seen in, never a set of records. A term's records are spread over ``salts``
-    partitions by the record's hash, so a term with a third of all rows is no single task; a record lies in one
+    partitions (as many as a shuffle has) by the record's hash, so a term with a third of all rows is no single task; a record lies in one
     salt only, which makes the counts of the salts add up. Repeated ids of one list are counted before the shuffle.
 
     Null terms are no terms; null ids are no records, nor are they occurrences; a term with only null or empty lists
     has 0 of both and is rare. Rows sent again add occurrences, not records. An empty table gives no rows.
     """
+    salts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) if salts is None else salts
     lists = rows.select(normal_term(F.col(term)).alias("term"), F.filter(F.col(records), lambda x: x.isNotNull()).alias("ids"))
     tokens = lists.select("term", F.size("ids").alias("n"), F.posexplode_outer(F.array_distinct("ids")).alias("pos", "record"))
     tokens = tokens.select("term", "record", F.when(F.col("pos") == 0, F.col("n")).otherwise(0).cast("bigint").alias("n"))

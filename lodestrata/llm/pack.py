@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from lodestrata.llm.tokens import VOCABULARY, token_count
 from lodestrata.session import settle
 
-SALTS = 64
+#: Items that one task numbers, and capacities that are planned on the driver, at most.
+SALTED, MOST_CAPACITIES = 100_000, 1000
 
 
 def fill(sizes: list[int], counts: dict[int, int], capacity: int) -> dict[int, int]:
@@ -86,11 +87,14 @@ def pack(rows: DataFrame, sizes: DataFrame, key: str = "doc_id", text: str = "te
     plans = {}
     items = settle(rows.select(F.col(key).alias("key"), token_count(vocabulary)(F.col(text)).alias("size")))
     names = sizes.select("pack_name", F.col("capacity_tokens").cast("int").alias("capacity_tokens")).filter("capacity_tokens > 0").distinct()
-    wanted = [(str(r[0]), r[0]) for r in names.select("capacity_tokens").distinct().collect()]  # a handful, by their nature
+    wanted = [(str(r[0]), r[0]) for r in names.select("capacity_tokens").distinct().limit(MOST_CAPACITIES + 1).collect()]
+    if len(wanted) > MOST_CAPACITIES:
+        raise ValueError(f"more than {MOST_CAPACITIES} capacities")
+    salts = 1 << max(0, -(-items.count() // SALTED) - 1).bit_length()  # so that the items of one size are never more than a task can number
     each = F.explode(F.array(*[F.struct(F.lit(n).alias("pack_name"), F.lit(c).cast("int").alias("capacity_tokens")) for n, c in wanted or [("none", 1)]]))
     per = (items if wanted else items.limit(0)).select("*", each.alias("w")).select("key", "size", "w.*")
     rest = F.when(F.col("size") > 0, F.pmod(F.col("size") - 1, F.col("capacity_tokens")) + 1).otherwise(0)
-    per = per.withColumn("rest", rest.cast("int")).withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int"))
+    per = per.withColumn("rest", rest.cast("int")).withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(salts)).cast("int"))
     cells = per.groupBy("pack_name", "capacity_tokens", "rest", "salt").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("size") - F.col("rest")).alias("over"))
     cells = settle(cells)
     offsets = cells.withColumn("before", F.sum("n").over(Window.partitionBy("pack_name", "rest").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)))

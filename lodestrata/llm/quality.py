@@ -116,11 +116,13 @@ def judge_line(words: list, chars: int, marks: list, dots: int, head: str, tail:
     n, pipes, tabs, semis = words[0], *marks
     if not n:
         return [1, 1, 0, 0, 0, *words], [chars, 0, 0], False
-    item = bool(MARKER.match(head))
+    marker = MARKER.match(head)
+    item = bool(marker)
+    own = count_word(word_state(marker.group().strip())) if marker else [0] * 8  # "(a)" is no article
     row = pipes >= 2 or tabs >= 1 or semis >= 2 or (dots >= 6 and dots > n) or words[6] > 0.5 * n
     ended = not row and bool(ENDED.search(tail))
     alone = item or row or words[5] < 0.5 * n
-    return [1, 0, int(ended), int(item), int(row), *words], [chars, n, words[4]], alone
+    return [1, 0, int(ended), int(item), int(row), *words], [chars, n - own[0], words[4] - own[4]], alone
 
 
 def close_line(line: dict) -> tuple[list, list, bool]:

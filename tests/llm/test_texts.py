@@ -300,17 +300,17 @@ def test_quality_does_not_depend_on_cuts(text, size):
 
 def test_quality_rows(spark):
     prose = "It follows that the kernel of the operator is stiff, and we find that the sensor limits it."
-    rows = [(1, prose), (2, "1.5\t2.5\tx\n" * 30), (3, "- red kernel\n- blue vortex\n- green mesh"), (4, None), (5, ""), (6, prose.replace(",", "").replace(".", "")), (7, (prose + "\n") * 3000), (8, "qxv zrtk " * 50), (9, prose + "\n" + "3 | 4 | 5\n" * 40)]
+    rows = [(1, prose), (2, "1.5\t2.5\tx\n" * 30), (3, "- red kernel\n- blue vortex\n- green mesh"), (4, None), (5, ""), (6, prose.replace(",", "").replace(".", "")), (7, (prose + "\n") * 3000), (8, "qxv zrtk " * 50), (9, prose + "\n" + "3 | 4 | 5\n" * 40), (10, "(a) rotating column\n(a) thermal magnet\n" * 9)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     got = {r["doc_id"]: r for r in quality.text_quality(df).collect()}
-    assert {k: r["mostly_language"] for k, r in got.items()} == {1: True, 2: False, 3: False, 5: True, 6: True, 7: True, 8: False, 9: False}
+    assert {k: r["mostly_language"] for k, r in got.items()} == {1: True, 2: False, 3: False, 5: True, 6: True, 7: True, 8: False, 9: False, 10: False}
     assert got[2]["kind"] == "table" and got[3]["kind"] == "list" and got[7]["n_lines"] == 3001 and got[1]["punctuated_share"] == 1
     for chunk, spread in ((500, 1000), (64, 1), (7, 300)):
         assert {r["doc_id"]: r for r in quality.text_quality(df, chunk=chunk, spread=spread).collect()} == got
     twice = df.filter("doc_id = 7").union(df.filter("doc_id = 7")).union(df.filter("doc_id = 1").selectExpr("cast(null as bigint)", "text"))
     assert quality.text_quality(twice, chunk=100, spread=2).count() == 3
     assert quality.text_quality(df.limit(0)).count() == 0
-    assert sorted(r[0] for r in quality.not_language(df).collect()) == [2, 3, 8, 9]
+    assert sorted(r[0] for r in quality.not_language(df).collect()) == [2, 3, 8, 9, 10]
 
 
 def test_token_blocks():
