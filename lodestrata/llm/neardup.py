@@ -98,17 +98,18 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 @lru_cache(4)
 def _multipliers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    seeds = _mix(np.arange(1, 2 * n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    return seeds[:n] | np.uint64(1), seeds[n:]
+    seeds = (_mix(np.arange(1, 2 * n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.uint32)
+    return seeds[:n] | np.uint32(1), seeds[n:]
 
 
 def fingerprint(hashes: np.ndarray, n: int) -> np.ndarray:
-    """``n`` minimum hashes of a set of hashes, each brought to 16 well-mixed bits."""
+    """``n`` minimum hashes of a set of hashes, by 32 of their bits, each brought to 16 well-mixed bits."""
     times, plus = _multipliers(n)
-    out = np.full(n, np.iinfo(np.uint64).max, np.uint64)
-    for start in range(0, len(hashes), 4096):
-        out = np.minimum(out, (hashes[start : start + 4096, None] * times + plus).min(axis=0))
-    return (_mix(out) >> np.uint64(48)).astype(np.uint16)
+    short = (hashes >> np.uint64(32)).astype(np.uint32)
+    out = np.full(n, np.iinfo(np.uint32).max, np.uint32)
+    for start in range(0, len(short), 4096):
+        out = np.minimum(out, (short[start : start + 4096, None] * times + plus).min(axis=0))
+    return (_mix(out.astype(np.uint64)) >> np.uint64(48)).astype(np.uint16)
 
 
 def sketch_of(mins: np.ndarray) -> np.ndarray:

@@ -12,6 +12,7 @@ import re
 import zlib
 from collections import Counter
 from functools import partial
+from itertools import compress, repeat
 
 import numpy as np
 import pandas as pd
@@ -52,8 +53,8 @@ VECTOR, WINDOW = 24, 3
 #: Words of a part of the training; the vectors of the parts are averaged after their pass.
 PART = 1_000_000
 #: Words of a larger share than this are seen less often in training, by the root of how much larger, as skip-gram training has it. It lets the
-#: windows reach the words that tell something.
-SUBSAMPLE = 1e-4
+#: windows reach the words that tell something; but no word is thinned below so many occurrences.
+SUBSAMPLE, AT_LEAST = 5e-5, 200
 #: Words to either side whose vectors make up the context of a word.
 AROUND = 3
 #: In even contexts the word meant must be ten times as frequent as the one read (one in log10); each unit of cosine by which its vector is nearer to
@@ -372,8 +373,8 @@ def _subsampled(batches, keep: dict[str, float]):
         out = []
         for text in batch["token"]:
             words = text.split(" ")
-            chance = np.random.default_rng(zlib.crc32(text.encode())).random(len(words)).tolist()
-            out.append([w for w, x in zip(words, chance) if x < keep.get(w, 1.0)])
+            kept = np.fromiter(map(keep.get, words, repeat(1.0)), float, len(words))
+            out.append(list(compress(words, (np.random.default_rng(zlib.crc32(text.encode())).random(len(words)) < kept).tolist())))
         yield pd.DataFrame({"words": out})
 
 
@@ -412,8 +413,9 @@ def learn(named: DataFrame) -> Words:
     enough = max(5, int(np.ceil(running * 1e-5)))
     if running >= 1000:
         parts = max(1, -(-int(running) // PART))  # by the words, so that clusters of any size learn alike
-        keep = {w: float(np.sqrt(SUBSAMPLE * running / n)) for w, n in vocabulary.items() if n > SUBSAMPLE * running}
-        context = context.mapInPandas(partial(_subsampled, keep=keep), "words array<string>")  # at most 1 / SUBSAMPLE words
+        keep = {w: max(float(np.sqrt(SUBSAMPLE * running / n)), min(1.0, AT_LEAST / n)) for w, n in vocabulary.items() if n > SUBSAMPLE * running}
+        # at most 1 / SUBSAMPLE words; settled, as the training reads it twice
+        context = settle(context.mapInPandas(partial(_subsampled, keep=keep), "words array<string>"))
         model = Word2Vec(vectorSize=VECTOR, minCount=enough, numPartitions=parts, stepSize=0.05, maxIter=1, seed=42, windowSize=WINDOW, inputCol="words", outputCol="v").fit(context)
         found = [(r["word"], r["vector"].toArray()) for r in model.getVectors().toLocalIterator()]
         index = {w: i for i, (w, _) in enumerate(found)}
