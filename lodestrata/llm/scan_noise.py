@@ -34,10 +34,23 @@ JOINING = frozenset("and or to und oder bis et ou y o e nor".split())
 TOKEN = re.compile(r"[@!|]?[^\W_]+(?:[@!|][^\W_]+)*")
 NUMBER = re.compile(r"\s*(?:[-–—] ?\d{1,5} ?[-–—]|\[\d{1,5}\]|\d{1,5}|[ivxlc]{1,8}|[Pp]\S{2,4} \d{1,5}(?: [o0]f \d{1,5})?)\s*")
 FORMULA = re.compile(r"\s*[(\[]\d{1,3}(?:\.\d{1,3})+[a-z]?[)\]]\s*")
-TERMINAL = re.compile(r"[.!?:;][\"')\]»]*\s*$")
+HYPHENS = "-¬­‐‑"
 BROKEN = re.compile(r"[^\W\d_]([-¬­‐‑])\s*$")
+
+
+def terminal(line: str) -> bool:
+    """Whether a line ends in a stop, quotes and brackets behind it aside."""
+    return line.rstrip().rstrip("\"')]»")[-1:] in tuple(".!?:;")
+
+
+def broken(line: str):
+    """The match of a hyphen behind a letter at a line's end."""
+    return BROKEN.search(line) if line.rstrip()[-1:] in tuple(HYPHENS) else None
+
+
 #: Characters that show nothing: joiners, and soft hyphens that are not where a line breaks.
 UNSEEN = re.compile("[\u200b-\u200d\u2060\ufeff]|\u00ad(?![ \t]*(?:\n|$))")
+DIGIT = re.compile(r"\d+")
 ITEM = re.compile(r"\s*(?:[•*+-]|\d{1,3}[.)])\s+\S")
 UNHARD = str.maketrans("0158!|@", "olsbila")
 BY_SIGN: dict[str, list[tuple[str, str]]] = {}
@@ -54,7 +67,7 @@ VECTOR, WINDOW = 24, 3
 PART = 1_000_000
 #: Words of a larger share than this are seen less often in training, by the root of how much larger, as skip-gram training has it. It lets the
 #: windows reach the words that tell something; but no word is thinned below so many occurrences.
-SUBSAMPLE, AT_LEAST = 5e-5, 200
+SUBSAMPLE, AT_LEAST = 2e-5, 200
 #: Words to either side whose vectors make up the context of a word.
 AROUND = 3
 #: In even contexts the word meant must be ten times as frequent as the one read (one in log10); each unit of cosine by which its vector is nearer to
@@ -134,7 +147,7 @@ class Words:
 
 def plain_line(line: str) -> str:
     """A line with all numbers alike, as it is compared between pages."""
-    return re.sub(r"\d+", "9", line.strip())
+    return DIGIT.sub("9", line.strip())
 
 
 def _title(line: str) -> bool:
@@ -164,10 +177,10 @@ def line_kinds(lines: list[str], known: frozenset = frozenset()) -> list[str] |
             continue
         upper, lower = sum(map(str.isupper, line)), sum(map(str.islower, line))
         capitals = upper > 0.8 * (upper + lower)
-        kind = "blank" if not line.strip() else "formula" if FORMULA.fullmatch(line) else "number" if NUMBER.fullmatch(line) else "title" if _title(line) and (len(line.strip()) <= 0.97 * width or capitals or _numbered(line)) else "heading" if capitals and upper > 3 and not TERMINAL.search(line) else "item" if ITEM.match(line) else "text"
+        kind = "blank" if not line.strip() else "formula" if FORMULA.fullmatch(line) else "number" if NUMBER.fullmatch(line) else "title" if _title(line) and (len(line.strip()) <= 0.97 * width or capitals or _numbered(line)) else "heading" if capitals and upper > 3 and not terminal(line) else "item" if ITEM.match(line) else "text"
         first.append(kind)
     text = [i for i, k in enumerate(first) if k in ("text", "item")]
-    wraps = sum(1 for i, j in zip(text, text[1:]) if not TERMINAL.search(lines[i]) and (lines[j][:1].islower() or BROKEN.search(lines[i])))
+    wraps = sum(1 for i, j in zip(text, text[1:]) if not terminal(lines[i]) and (lines[j][:1].islower() or broken(lines[i])))
     long = sorted(len(lines[i]) for i in text)
     if wraps < 2 or wraps < 0.25 * (len(text) - 1) or long[len(long) // 2] < 35:
         return None
@@ -175,7 +188,7 @@ def line_kinds(lines: list[str], known: frozenset = frozenset()) -> list[str] |
 
     def footer(i: int) -> bool:
         line = lines[i].strip()
-        return first[i] == "text" and len(line) <= 0.75 * width and line[:1].isupper() and not TERMINAL.search(line) and not BROKEN.search(line) and len(line.split()) <= 7 and (plain_line(line) in known or often[plain_line(line)] > 1)
+        return first[i] == "text" and len(line) <= 0.75 * width and line[:1].isupper() and not terminal(line) and not broken(line) and len(line.split()) <= 7 and (plain_line(line) in known or often[plain_line(line)] > 1)
 
     apart = [k in ("number", "title") for k in first]
     for _ in range(2):
@@ -193,7 +206,7 @@ def line_kinds(lines: list[str], known: frozenset = frozenset()) -> list[str] |
             j += 1
         before = next((lines[k] for k in range(i - 1, -1, -1) if first[k] == "text"), "")
         after = next((lines[k] for k in range(j + 1, len(lines)) if first[k] == "text"), "")
-        cuts = bool(before) and not TERMINAL.search(before) or after[:1].islower()
+        cuts = bool(before) and not terminal(before) or after[:1].islower()
         paged = any(first[k] == "number" or first[k] == "title" and _numbered(lines[k]) for k in range(i, j + 1))
         for k in range(i, j + 1):
             if first[k] != "blank":
@@ -223,7 +236,7 @@ def analyse(text: str, words: Words) -> tuple[str, list[tuple[int, bool, bool, b
     whole: list[tuple[int, int, str]] = []  # first line, second line, a word broken across them
     joined: dict[int, set[int]] = {}  # by line, the tokens that are part of such a word
     for i, j in zip(running, running[1:]):
-        sign = BROKEN.search(lines[i])
+        sign = broken(lines[i])
         if not sign or not found[i]:
             continue
         if not found[j] or not lines[j].lstrip().startswith(found[j][0]):
@@ -305,7 +318,7 @@ def reflow(lines: list[str], kinds: list[str], joins: dict[int, str], lengths: l
                 out[-1] = re.sub(r"[-¬­‐‑]$", "", out[-1]) + line
             elif how == "hyphen":
                 out[-1] = re.sub(r"[-¬­‐‑]$", "-", out[-1]) + line
-            elif TERMINAL.search(out[-1]) and lengths[last] < 0.8 * width:
+            elif terminal(out[-1]) and lengths[last] < 0.8 * width:
                 out.append(line)
             else:
                 out[-1] += " " + line
@@ -326,7 +339,7 @@ def may_be_scanned(text):
 
 #: Bytes of Latin-1 without what stands between tokens.
 IN_TOKEN = bytes(c if chr(c).isalnum() or chr(c) in "@!|" else 32 for c in range(256))
-LINE_JOIN = re.compile(r"(?<=[^\W\d_])[-¬­‐‑][ \t]*\n[ \t]*(?=[^\W\d_])")
+LINE_JOIN = re.compile(r"[-¬­‐‑](?<=[^\W\d_][-¬­‐‑])[ \t]*\n[ \t]*(?=[^\W\d_])")
 
 
 def token_list(text: str) -> list[str]:
@@ -362,7 +375,7 @@ def _count(batches):
             words.update(found)
             contexts.append(" ".join(found))
             if text.count("\n") >= 3 and MAY_GO_ON.search(text):
-                lines.update(x for x in map(plain_line, text.split("\n")) if 3 <= len(x) <= 60)
+                lines.update(x for x in (plain_line(y) for y in text.split("\n") if len(y) <= 60 or DIGIT.search(y)) if 3 <= len(x) <= 60)
         if len(words) + len(lines) > 300_000 or len(contexts) > 5_000:
             yield handed()
     yield handed()
