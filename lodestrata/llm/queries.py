@@ -153,6 +153,12 @@ def p10_counts(spark, folder):
     return p10_quality(spark, folder).select("doc_id", "n_chars", "n_words", "n_lines")
 
 
+def p10_labels(spark, folder):
+    """How many documents of each label given by hand came out as which kind; a document with two labels counts for both."""
+    labels = table(spark, folder, "quality_labels").select("doc_id", "label").dropna().distinct()
+    return labels.join(p10_quality(spark, folder).select("doc_id", "kind"), "doc_id").groupBy("label", "kind").agg(F.count(F.lit(1)).alias("documents"))
+
+
 def p10_spread(spark, folder):
     """p10_quality with the chunks of every text above 1,024 characters spread and merged over the executors."""
     return quality.text_quality(table(spark, folder, "documents"), chunk=256, spread=4)
@@ -162,7 +168,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         p1_found, p1_frequency, p2_found, p2_pairs, p2_counts, p2_significant, p2_recorded, p3_found, p3_groups, p4_found, p4_groups, p4_normalized, p5_found, p5_repaired, p6_found, p6_clean,
-        p7_found, p7_pieces, p7_sizes, p8_pack, p8_fill, p8_items, p9_mix, p9_within, p9_shares, p9_temperature, p10_found, p10_quality, p10_counts, p10_spread,
+        p7_found, p7_pieces, p7_sizes, p8_pack, p8_fill, p8_items, p9_mix, p9_within, p9_shares, p9_temperature, p10_found, p10_quality, p10_counts, p10_labels, p10_spread,
     )
 }
 
