@@ -27,6 +27,8 @@ COMMON = frozenset(
 )
 MARKER = re.compile(r"\s*(?:https?://|[-*+•]\s|\[\d+\]|\d{1,3}[.)]\s|\(?[a-z0-9]{1,3}\)\s)")
 EDGE = 64
+#: Words a line, in mean, above which lines without sentences are no list.
+LONG_LINE = 12
 ENDED = re.compile(r"[.!?][\"')»\]]*$")
 WORD_COUNTS = ("words", "letters", "digits", "symbols", "common", "alphabetic", "numeric", "word_chars")
 
@@ -117,9 +119,10 @@ def judge_line(words: list, chars: int, marks: list, dots: int, head: str, tail:
     if not n:
         return [1, 1, 0, 0, 0, *words], [chars, 0, 0], False
     marker = MARKER.match(head)
-    item = bool(marker)
+    leader = dots >= 6 and dots > n  # of a table of contents
+    item = bool(marker) or leader
     own = count_word(word_state(marker.group().strip())) if marker else [0] * 8  # "(a)" is no article
-    row = pipes >= 2 or tabs >= 1 or semis >= 2 or (dots >= 6 and dots > n) or words[6] > 0.5 * n
+    row = pipes >= 2 or tabs >= 1 or semis >= 2 or (words[6] > 0.5 * n and not leader)
     ended = not row and bool(ENDED.search(tail))
     alone = item or row or words[5] < 0.5 * n
     return [1, 0, int(ended), int(item), int(row), *words], [chars, n - own[0], words[4] - own[4]], alone
@@ -211,7 +214,7 @@ def statistics(state: dict) -> list:
     over = lambda x, y: x / y if y else 0.0
     share = min(1.0, over(language, chars + 1))  # each line counts its break, the last one's is not there
     rows, items = over(c["rows"], full), over(c["items"], full)
-    kind = "prose" if share >= 0.5 or not full else "table" if rows >= 0.5 else "list" if items >= 0.5 else "junk" if over(c["alphabetic"], c["words"]) < 0.5 or over(c["common"], c["words"]) >= 0.01 else "list"
+    kind = "prose" if share >= 0.5 or not full else "table" if rows >= 0.5 else "list" if items >= 0.5 else "junk" if over(c["alphabetic"], c["words"]) < 0.5 or over(c["common"], c["words"]) >= 0.01 or c["words"] > LONG_LINE * full else "list"
     return [chars, c["words"], c["lines"], over(c["word_chars"], c["words"]), over(c["symbols"], c["word_chars"]), over(c["digits"], c["word_chars"]), over(c["punctuated"], full), over(c["common"], c["words"]), items, rows, share, kind, not chars or share >= 0.5]
 
 
