@@ -91,7 +91,7 @@ def count_words(words: list[str]) -> list:
 def line_state(text: str) -> dict:
     """A piece of a line: edges ``pre`` and ``post`` are words that may go on; ``mid`` is None while all is one word."""
     parts = words_of_line(text)
-    state = {"chars": len(text), "marks": [text.count("|"), text.count("\t"), text.count(";")], "head": text[:24], "tail": text.rstrip()[-4:] if text.strip() else "", "dots": text.count("."), "pre": word_state(parts[0]) if parts[0] else None, "mid": None, "post": None}
+    state = {"chars": len(text), "marks": [text.count("|"), text.count("\t"), text.count(";"), text.count(",")], "head": text[:24], "tail": text.rstrip()[-4:] if text.strip() else "", "dots": text.count("."), "pre": word_state(parts[0]) if parts[0] else None, "mid": None, "post": None}
     if len(parts) > 1:
         state["mid"] = count_words(parts[1:-1])
         state["post"] = word_state(parts[-1]) if parts[-1] else None
@@ -115,12 +115,13 @@ LINE_COUNTS = ("lines", "blank_lines", "punctuated", "items", "rows", *WORD_COUN
 
 def judge_line(words: list, chars: int, marks: list, dots: int, head: str, tail: str) -> tuple[list, list, bool]:
     """Counts of a whole line; its block state ``chars, words, common``; whether it stands alone rather than in a block."""
-    n, pipes, tabs, semis = words[0], *marks
+    n, pipes, tabs, semis, commas = words[0], *marks
     if not n:
         return [1, 1, 0, 0, 0, *words], [chars, 0, 0], False
     marker = MARKER.match(head)
     leader = dots >= 6 and dots > n  # of a table of contents
-    item = bool(marker) or leader
+    listed = commas >= 3 and commas >= 0.2 * n and words[4] < 0.1 * n
+    item = bool(marker) or leader or listed  # a bullet or number, the leader of a table of contents, or a line of names with commas
     own = count_word(word_state(marker.group().strip())) if marker else [0] * 8  # "(a)" is no article
     row = pipes >= 2 or tabs >= 1 or semis >= 2 or (words[6] > 0.5 * n and not leader)
     ended = not row and bool(ENDED.search(tail))
@@ -135,7 +136,7 @@ def close_line(line: dict) -> tuple[list, list, bool]:
 
 def whole_line(text: str) -> tuple[list, list, bool]:
     """close_line of a line that is known whole."""
-    marks = [text.count("|"), text.count("\t"), text.count(";")]
+    marks = [text.count("|"), text.count("\t"), text.count(";"), text.count(",")]
     return judge_line(count_words(words_of_line(text)), len(text), marks, text.count("."), text[:24], text.rstrip()[-4:])
 
 
