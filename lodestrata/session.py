@@ -16,6 +16,7 @@ def local_session(name: str = "lodestrata", cores: str = "*", partitions: int =
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")  # small data still fills the cores
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
