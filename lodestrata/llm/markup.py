@@ -437,8 +437,8 @@ def words_in(text: str) -> str:
 
 
 def lay_out(root: Node) -> tuple[str, dict]:
-    """The visible text, and how many headings, list items, tables, code blocks and formulas it has."""
-    seen = dict.fromkeys(("headings", "items", "tables", "code_blocks", "formulas"), 0)
+    """The visible text, and how many headings, list items, tables, code blocks and formulas it has, with an outline of the headings."""
+    seen = dict.fromkeys(("headings", "items", "tables", "code_blocks", "formulas"), 0) | {"outline": ""}
     out: list[str] = []
 
     def gap(n: int) -> None:
@@ -540,7 +540,9 @@ def lay_out(root: Node) -> tuple[str, dict]:
         elif name in ("h1", "h2", "h3", "h4", "h5", "h6"):
             seen["headings"] += 1
             gap(2)
-            out.append(inside(child))
+            title = inside(child)
+            out.append(title)
+            seen["outline"] += f"{name[1]} {title}\n"
             gap(2)
         elif name == "pre":
             seen["code_blocks"] += 1
@@ -571,33 +573,35 @@ def lay_out(root: Node) -> tuple[str, dict]:
 
 
 SIGNS = re.compile(r"[<&*_`~#\[{\\$]|''|==|^[ \t]*[-+>=]|\|[ \t]*:?-", re.M)
-COLUMNS = ("text", "html", "markdown", "wiki", "latex", "headings", "items", "tables", "code_blocks", "formulas")
+COLUMNS = ("text", "html", "markdown", "wiki", "latex", "headings", "items", "tables", "code_blocks", "formulas", "outline")
+NOTHING = (*[0] * 9, "")
 
 
 def render(text: str) -> tuple:
     """The values of COLUMNS for a text; one without markup comes out as it is."""
     if not SIGNS.search(text):
-        return text, *[0] * 9
+        return text, *NOTHING
     r = Rewriting(text)
     for step in (_code, _formulas, _html, _wiki, _latex, _markdown):
         step(r)
     if not any(r.pieces.values()):
-        return text, *[0] * 9
+        return text, *NOTHING
     clean, seen = lay_out(build(r))
     return clean, *r.pieces.values(), *seen.values()
 
 
 def _render(texts: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([(None, *[0] * 9) if t is None else render(t) for t in texts], columns=COLUMNS)
+    return pd.DataFrame([(None, *NOTHING) if t is None else render(t) for t in texts], columns=COLUMNS)
 
 
 def clean_markup(rows: DataFrame, key: str = "id", text: str = "document") -> DataFrame:
-    """``id`` and COLUMNS: every distinct record as clean text, with the pieces of each markup and of the structure kept.
+    """``id`` and COLUMNS: every distinct record as clean text, with the pieces of each markup and of the structure kept, and an
+    outline: a line for each heading, its level and its text.
 
     Code and formulas are set aside first and come out as they were; signs that mean themselves stay. Null keys are kept, null texts stay null with
     zeros, an empty text stays empty.
     """
-    shape = T.StructType([T.StructField("text", T.StringType()), *(T.StructField(n, T.IntegerType()) for n in COLUMNS[1:])])
+    shape = T.StructType([T.StructField("text", T.StringType()), *(T.StructField(n, T.IntegerType()) for n in COLUMNS[1:-1]), T.StructField(COLUMNS[-1], T.StringType())])
     named = rows.select(F.col(key).alias("id"), F.col(text).alias("given")).distinct()
     return named.select("id", F.pandas_udf(_render, shape)("given").alias("r")).select("id", "r.*")
 

@@ -105,6 +105,10 @@ def test_markup(given_text, wanted, kinds):
     assert tuple(k for k, n in zip(markup.COLUMNS[1:5], counts) if n) == kinds
 
 
+def test_outline_keeps_levels():
+    assert markup.render("# Top\n\ntext\n\n### Deep *one*\n\n<h2>Two</h2>")[-1] == "1 Top\n3 Deep one\n2 Two\n"
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet="<>/pbli&;*_`~#[](){}|=$\\'! \n-ab1", max_size=80))
 def test_markup_never_fails(text):
