@@ -46,7 +46,7 @@ def chunk_ranges(counts: Column, max_words: int = MAX_WORDS, overlap: int = OVER
     next begins with its last ``overlap`` sentences, or with all of it if it has no more."""
     empty = F.struct(F.lit(1).alias("start"), F.lit(0).alias("i"), F.lit(0).alias("words"), F.array().cast("array<struct<first:int,last:int>>").alias("out"))
 
-    def step(state: Column, n: Column) -> Column:
+    def step(counts: Column, state: Column, n: Column) -> Column:
         i, words = state["i"] + 1, state["words"] + n
         full = words >= max_words
         moves = full & (i - state["start"] + 1 > overlap)
@@ -60,7 +60,8 @@ def chunk_ranges(counts: Column, max_words: int = MAX_WORDS, overlap: int = OVER
         done = F.coalesce(F.get(state["out"], F.size(state["out"]) - 1) == rest, F.lit(False))
         return F.when((state["i"] == 0) | done, state["out"]).otherwise(F.concat(state["out"], F.array(rest)))
 
-    return F.aggregate(counts, empty, step, finish)
+    # bound once, as the counts would be taken anew for every chunk otherwise
+    return let(counts, lambda c: F.aggregate(c, empty, lambda state, n: step(c, state, n), finish))
 
 
 def join_orphans(chunks: Column, max_words: int = MAX_WORDS) -> Column:
