@@ -11,11 +11,12 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
+from collections.abc import Callable
 from functools import partial
-from itertools import compress, repeat
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,23 +35,28 @@ JOINING = frozenset("and or to und oder bis et ou y o e nor".split())
 TOKEN = re.compile(r"[@!|]?[^\W_]+(?:[@!|][^\W_]+)*")
 NUMBER = re.compile(r"\s*(?:[-–—] ?\d{1,5} ?[-–—]|\[\d{1,5}\]|\d{1,5}|[ivxlc]{1,8}|[Pp]\S{2,4} \d{1,5}(?: [o0]f \d{1,5})?)\s*")
 FORMULA = re.compile(r"\s*[(\[]\d{1,3}(?:\.\d{1,3})+[a-z]?[)\]]\s*")
-HYPHENS = "-¬­‐‑"
+HYPHENS = tuple("-¬­‐‑")
+STOPS = tuple(".!?:;")
 BROKEN = re.compile(r"[^\W\d_]([-¬­‐‑])\s*$")
 
 
 def terminal(line: str) -> bool:
     """Whether a line ends in a stop, quotes and brackets behind it aside."""
-    return line.rstrip().rstrip("\"')]»")[-1:] in tuple(".!?:;")
+    return not line[-1:].isalnum() and line.rstrip().rstrip("\"')]»")[-1:] in STOPS
 
 
 def broken(line: str):
     """The match of a hyphen behind a letter at a line's end."""
-    return BROKEN.search(line) if line.rstrip()[-1:] in tuple(HYPHENS) else None
+    return BROKEN.search(line) if line.rstrip()[-1:] in HYPHENS else None
 
 
 #: Characters that show nothing: joiners, and soft hyphens that are not where a line breaks.
 UNSEEN = re.compile("[\u200b-\u200d\u2060\ufeff]|\u00ad(?![ \t]*(?:\n|$))")
 DIGIT = re.compile(r"\d+")
+NUMBER_BEFORE, NUMBER_BEHIND = re.compile(r"^(?:\d{1,5}|[ivxlc]{1,8})\s+(?=\S)"), re.compile(r"\s+(?:\d{1,5}|[ivxlc]{1,8})$")
+PART_NUMBER = re.compile(r"^[^\W\d_]\S{2,8} \d{1,3}\.\s+(?=\S)")
+NO_TITLE = re.compile(r"[.,;:?]|[-¬­‐]$")
+LOWER, UPPER = (bytes(filter(test, range(128))) for test in (lambda c: chr(c).islower(), lambda c: chr(c).isupper()))
 ITEM = re.compile(r"\s*(?:[•*+-]|\d{1,3}[.)])\s+\S")
 UNHARD = str.maketrans("0158!|@", "olsbila")
 BY_SIGN: dict[str, list[tuple[str, str]]] = {}
@@ -62,6 +68,10 @@ for _wrong, _right in GLYPHS:
         BY_SIGN.setdefault(_wrong[0], []).append((_wrong, _right))
 #: The vocabulary is that of the most frequent words, of at most so many in all: all words of a collection that has no more.
 VOCABULARY = 500_000
+#: Words of more characters are not counted.
+LONGEST = 40
+#: Bytes of text that are counted or subsampled at once.
+PORTION = 1 << 24
 VECTOR, WINDOW = 24, 3
 #: Words of a part of the training; the vectors of the parts are averaged after their pass.
 PART = 1_000_000
@@ -82,6 +92,7 @@ class Words:
     def __init__(self, counts: dict[str, int], least: int, index: dict[str, int], vectors: np.ndarray, lines: frozenset = frozenset()):
         self.counts, self.least, self.index, self.lines = counts, least, index, lines
         self.memory: dict[str, list[str]] = {}
+        self.sound: set[str] = set()  # words known to be no misreadings
         # what all words have in common is taken off, and frequent words count less in a context (smooth inverse frequency)
         often = np.array([counts.get(w, 1) for w in index], float)
         share = often / max(1.0, often.sum())
@@ -117,6 +128,14 @@ class Words:
             self.memory[word] = found
         return found
 
+    def suspect(self, word: str) -> bool:
+        """Whether a word may be a misreading."""
+        if len(word) > 2 and not word.isdigit() and any(map(str.isalpha, word)) and self.neighbours(word):
+            return True
+        if len(self.sound) < 200_000:
+            self.sound.add(word)
+        return False
+
     def nearness(self, word: str, context: np.ndarray) -> float:
         """The cosine of a word's vector and a context's; 0, which unrelated words have, if the word is too rare for a vector."""
         at = self.index.get(word)
@@ -130,6 +149,8 @@ class Words:
         found = self.neighbours(word)
         if not found:
             return None
+        if len(found) == 1 and np.log10(self.counts[found[0]] / self.seen(word)) >= TENFOLD + 1:
+            return found[0]  # as the context counts one power of ten at most
         near = [self.index[c] for c in context if c in self.index]
         around = self.weight[near] @ self.vectors[near] if near else np.zeros(self.vectors.shape[1])
         around = around / (np.linalg.norm(around) or 1.0)
@@ -152,10 +173,13 @@ def plain_line(line: str) -> str:
 
 def _title(line: str) -> bool:
     text = line.strip()
-    text = re.sub(r"^(?:\d{1,5}|[ivxlc]{1,8})\s+(?=\S)", "", text)
-    text = re.sub(r"\s+(?:\d{1,5}|[ivxlc]{1,8})$", "", text)
-    text = re.sub(r"^[^\W\d_]\S{2,8} \d{1,3}\.\s+(?=\S)", "", text)
-    if not text or len(text) > 80 or not (text[0].isupper() or text[0] in "0156") or re.search(r"[.,;:?]|[-¬­‐]$", text) or text.endswith("!"):
+    if text[:1].isdecimal() or text[:1] in "ivxlc":
+        text = NUMBER_BEFORE.sub("", text)
+    if text[-1:].isdecimal() or text[-1:] in "ivxlc":
+        text = NUMBER_BEHIND.sub("", text)
+    if "." in text:
+        text = PART_NUMBER.sub("", text)
+    if not text or len(text) > 80 or not (text[0].isupper() or text[0] in "0156") or NO_TITLE.search(text) or text.endswith("!"):
         return False
     words = text.split()
     if not 1 <= len(words) <= 8 or any(w.lower().translate(UNHARD) in FUNCTION for w in words):
@@ -167,6 +191,14 @@ def _numbered(line: str) -> bool:
     return bool(re.match(r"\s*(?:\d{1,5}|[ivxlc]{1,8})\s+\D", line) or re.search(r"\D\s(?:\d{1,5}|[ivxlc]{1,8})\s*$", line))
 
 
+def _cases(line: str) -> tuple[int, int]:
+    """How many letters are upper case, and lower case."""
+    if line.isascii():
+        signs = line.encode()
+        return len(signs) - len(signs.translate(None, UPPER)), len(signs) - len(signs.translate(None, LOWER))
+    return sum(map(str.isupper, line)), sum(map(str.islower, line))
+
+
 def line_kinds(lines: list[str], known: frozenset = frozenset()) -> list[str] | None:
     """``blank, furniture, formula, heading, item`` or ``text`` for each line; None if the document is not scanned text."""
     width = sorted(len(x) for x in lines)[int(0.9 * (len(lines) - 1))]
@@ -175,7 +207,7 @@ def line_kinds(lines: list[str], known: frozenset = frozenset()) -> list[str] |
         if len(line) > 12 and (line[0].islower() or line[0].isalpha() and line[1].islower() and (", " in line or ". " in line[14:])):
             first.append("text")  # what the rules below come to for most lines
             continue
-        upper, lower = sum(map(str.isupper, line)), sum(map(str.islower, line))
+        upper, lower = _cases(line)
         capitals = upper > 0.8 * (upper + lower)
         kind = "blank" if not line.strip() else "formula" if FORMULA.fullmatch(line) else "number" if NUMBER.fullmatch(line) else "title" if _title(line) and (len(line.strip()) <= 0.97 * width or capitals or _numbered(line)) else "heading" if capitals and upper > 3 and not terminal(line) else "item" if ITEM.match(line) else "text"
         first.append(kind)
@@ -193,7 +225,7 @@ def line_kinds(lines: list[str], known: frozenset = frozenset()) -> list[str] |
     apart = [k in ("number", "title") for k in first]
     for _ in range(2):
         for i in range(len(lines)):
-            if not apart[i] and footer(i) and (i and apart[i - 1] or i + 1 < len(lines) and apart[i + 1]):
+            if not apart[i] and (i and apart[i - 1] or i + 1 < len(lines) and apart[i + 1]) and footer(i):
                 apart[i] = True
     kinds = ["text" if k == "title" or k == "number" else k for k in first]
     i = 0
@@ -222,16 +254,45 @@ def _cased(word: str, like: str) -> str:
     return word[:1].upper() + word[1:] if letters and letters[0].isupper() and like[:1].isalpha() else word
 
 
+#: Bytes of Latin-1 without what stands between tokens, and with the ends of lines.
+IN_TOKEN = bytes(c if chr(c).isalnum() or chr(c) in "@!|" else 32 for c in range(256))
+IN_LINE = bytes(c if chr(c) == "\n" else IN_TOKEN[c] for c in range(256))
+
+
+def in_tokens(text: str, table: bytes) -> str | None:
+    """The text with blanks for what stands between tokens, character for character; None if only the pattern can tell: letters or digits are of more
+    than a byte, or the signs of a token stand beside such characters."""
+    try:
+        plain = text.encode("latin-1")
+    except UnicodeEncodeError:
+        if any(c in text for c in "@!|") or any(c > "\xff" and c.isalnum() for c in set(text)):
+            return None
+        plain = text.encode("latin-1", "replace")  # the question mark stands between tokens, too
+    return plain.translate(table).decode("latin-1")
+
+
+def line_tokens(text: str, lines: list[str]) -> Callable[[int], list[str]]:
+    """What gives the tokens of a line, without the pattern if the line's letters and digits have one byte and it has no signs."""
+    plain = in_tokens(text, IN_LINE)
+    if plain is None:
+        return lambda i: TOKEN.findall(lines[i])
+    spaced = plain.split("\n")
+    signs = any(c in plain for c in "@!|")
+    return lambda i: TOKEN.findall(lines[i]) if signs and any(c in spaced[i] for c in "@!|") else spaced[i].split()
+
+
 def analyse(text: str, words: Words) -> tuple[str, list[tuple[int, bool, bool, bool]]]:
     """The repaired text, and its lines with noise: number from 1, furniture, broken word, misread word."""
-    lines = (text if text.isascii() else UNSEEN.sub("", text)).split("\n")
+    seen = text if text.isascii() else UNSEEN.sub("", text)
+    lines = seen.split("\n")
     kinds = line_kinds(lines, words.lines) if len(lines) >= 4 else None
     if kinds is None:
         return text, []
     noise = {i: [k == "furniture", False, False] for i, k in enumerate(kinds)}
     order = [i for i, k in enumerate(kinds) if k in ("text", "item", "heading", "formula")]
     running = [i for i in order if kinds[i] in ("text", "item")]
-    found = {i: TOKEN.findall(lines[i]) for i in order}
+    tokens = line_tokens(seen, lines)
+    found = {i: tokens(i) for i in order}
     joins: dict[int, str] = {}  # by line, what the sign at its end becomes
     whole: list[tuple[int, int, str]] = []  # first line, second line, a word broken across them
     joined: dict[int, set[int]] = {}  # by line, the tokens that are part of such a word
@@ -255,18 +316,14 @@ def analyse(text: str, words: Words) -> tuple[str, list[tuple[int, bool, bool, b
             joined.setdefault(j, set()).add(0)
         else:
             joins[i] = "hyphen"
-    memory, flat, base = words.memory, [], {}
+    flat, base = [], {}
     suspects: list[tuple[int, int]] = []
     for i in order:
         base[i] = len(flat)
-        low = [t.lower() for t in found[i]]
+        low = list(map(str.lower, found[i]))
         flat += low
-        for k, word in enumerate(low):
-            near = memory.get(word)
-            if near is None:
-                near = words.neighbours(word) if len(word) > 2 and not word.isdigit() and any(map(str.isalpha, word)) else []
-            if near and k not in joined.get(i, ()):
-                suspects.append((i, k))
+        if not words.sound.issuperset(low):
+            suspects += [(i, k) for k, word in enumerate(low) if word not in words.sound and words.suspect(word) and k not in joined.get(i, ())]
     changes: dict[int, list[tuple[int, int, str]]] = {}
 
     def around(at: int, width: int = 1) -> list[str]:
@@ -291,14 +348,18 @@ def analyse(text: str, words: Words) -> tuple[str, list[tuple[int, bool, bool, b
         changes.setdefault(i, []).append((*start, _cased(meant, token)))
         changes.setdefault(j, []).append((*TOKEN.search(lines[j]).span(), ""))
     listed = [(i + 1, *flags) for i, flags in sorted(noise.items()) if any(flags)]
-    clean = []
-    for i, line in enumerate(lines):
-        for start, end, new in sorted(changes.get(i, []), reverse=True):
-            line = line[:start] + new + line[end:]
-        clean.append(line)
+    clean = list(lines)
+    for i, spots in changes.items():
+        for start, end, new in sorted(spots, reverse=True):
+            clean[i] = clean[i][:start] + new + clean[i][end:]
     return reflow(clean, kinds, joins, [len(x) for x in lines]), listed
 
 
+def _uncut(text: str, sign: str = "") -> str:
+    """The text with another sign for a hyphen at its end."""
+    return text[:-1] + sign if text[-1:] in HYPHENS else text
+
+
 def reflow(lines: list[str], kinds: list[str], joins: dict[int, str], lengths: list[int]) -> str:
     """Paragraphs: text lines joined, furniture left out; headings, formula numbers and items stay apart."""
     texts = sorted(n for n, k in zip(lengths, kinds) if k == "text")
@@ -315,9 +376,9 @@ def reflow(lines: list[str], kinds: list[str], joins: dict[int, str], lengths: l
         if kind in ("text", "item") and last is not None and kind != "item":
             how = joins.get(last)
             if how == "join":
-                out[-1] = re.sub(r"[-¬­‐‑]$", "", out[-1]) + line
+                out[-1] = _uncut(out[-1]) + line
             elif how == "hyphen":
-                out[-1] = re.sub(r"[-¬­‐‑]$", "-", out[-1]) + line
+                out[-1] = _uncut(out[-1], "-") + line
             elif terminal(out[-1]) and lengths[last] < 0.8 * width:
                 out.append(line)
             else:
@@ -328,67 +389,91 @@ def reflow(lines: list[str], kinds: list[str], joins: dict[int, str], lengths: l
     return "\n\n".join(out)
 
 
-#: Of a line that may go on in the next.
-MAY_GO_ON = re.compile(r"\n[^\W\d_A-Z]|[-¬­‐‑]\s*\n")
+#: Of a line that may go on in the next: its start, or the end of the one before.
+GOES_ON, BREAKS = re.compile(r"\n[^\W\d_A-Z]"), re.compile(r"[-¬­‐‑]\s*\n")
+NINES = str.maketrans("012345678", "9" * 9)
 
 
 def may_be_scanned(text):
     """False only for texts that line_kinds gives None for: no four lines, or no line that may go on in the next."""
-    return (F.regexp_count(text, F.lit("\n")) >= 3) & text.rlike(r"\n\p{Ll}|[-¬­‐‑]\s*\n")
+    return (F.substring_index(text, "\n", 3) != text) & text.rlike(r"\n\p{Ll}|[-¬­‐‑]\s*\n")
 
 
-#: Bytes of Latin-1 without what stands between tokens.
-IN_TOKEN = bytes(c if chr(c).isalnum() or chr(c) in "@!|" else 32 for c in range(256))
 LINE_JOIN = re.compile(r"[-¬­‐‑](?<=[^\W\d_][-¬­‐‑])[ \t]*\n[ \t]*(?=[^\W\d_])")
 
 
-def token_list(text: str) -> list[str]:
-    """The tokens of a text in lower case; texts of one-byte characters without a pattern, as that is several times faster."""
+def spaced_words(text: str) -> tuple[str, bool]:
+    """The tokens of a text in lower case between blanks, and whether these are single ones, of which each parts two tokens. Texts of one-byte letters
+    without a pattern, as that is several times faster."""
     text = text.lower()
     if "\n" in text:
         text = LINE_JOIN.sub("", text)
-    try:
-        plain = text.encode("latin-1").translate(IN_TOKEN).decode("latin-1")
-    except UnicodeEncodeError:
-        return TOKEN.findall(text)
+    plain = in_tokens(text, IN_TOKEN)
+    if plain is None:
+        return " ".join(TOKEN.findall(text)), True
     if any(c in plain for c in "@!|"):
-        return [w.strip("@!|") for w in plain.split()]
-    return plain.split()
+        return " ".join([w.strip("@!|") for w in plain.split()]), True
+    return plain.strip(), False
+
+
+def recurring_lines(text: str) -> list[str]:
+    """The lines of a wrapped text as plain_line gives them, of 3 to 60 characters, if they are as short themselves or have a number."""
+    if text.count("\n") < 3 or not (GOES_ON.search(text) or BREAKS.search(text)):
+        return []
+    if text.isascii():
+        text = text.translate(NINES)
+        while "99" in text:
+            text = text.replace("99", "9")
+    else:
+        text = DIGIT.sub("9", text)
+    return [x for y in text.split("\n") if (len(y) <= 60 or "9" in y) and 3 <= len(x := y.strip()) <= 60]
+
+
+def _rows(kind: str, tokens: pa.Array, n: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.repeat(kind, len(tokens)), tokens.cast(pa.string()), n.cast(pa.int64())], ["kind", "token", "n"])
+
+
+def portions(texts: pa.Array):
+    """The texts in stretches of PORTION bytes, or one that is longer."""
+    ends, start = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64), 0
+    while start < len(texts):
+        end = max(start + 1, int(np.searchsorted(ends, PORTION + (ends[start - 1] if start else 0), "right")))
+        yield texts[start:end]
+        start = end
 
 
 def _count(batches):
-    """Partial counts of words and of the short lines of wrapped texts, handed on before they outgrow the task, and the words of each text."""
-    words: Counter = Counter()
-    lines: Counter = Counter()
-    contexts: list[str] = []
-
-    def handed():
-        rows = [("word", w, n) for w, n in words.items() if 0 < len(w) <= 40] + [("line", x, n) for x, n in lines.items()] + [("context", x, x.count(" ") + 1) for x in contexts]
-        words.clear()
-        lines.clear()
-        contexts.clear()
-        return pd.DataFrame(rows, columns=["kind", "token", "n"])
-
-    for batch in batches:
-        for text in batch["text"]:
-            found = token_list(text)
-            words.update(found)
-            contexts.append(" ".join(found))
-            if text.count("\n") >= 3 and MAY_GO_ON.search(text):
-                lines.update(x for x in (plain_line(y) for y in text.split("\n") if len(y) <= 60 or DIGIT.search(y)) if 3 <= len(x) <= 60)
-        if len(words) + len(lines) > 300_000 or len(contexts) > 5_000:
-            yield handed()
-    yield handed()
+    """By portion: the words of each text, their partial counts and those of the short lines of wrapped texts, and the number of all words. The words
+    are split and counted in Arrow, where none becomes an object."""
+    for portion in (p for batch in batches for p in portions(batch["text"])):
+        texts, lines, kinds = ([], []), [], []
+        for text in portion.to_pylist():
+            spaced, single = spaced_words(text)
+            texts[single].append(spaced)
+            kinds.append(single)
+            lines += recurring_lines(text)
+        loose, single = (pa.array(x, pa.large_string()) for x in texts)
+        split = [pc.ascii_split_whitespace(loose), pc.split_pattern(single, " ")]
+        words = pa.concat_arrays([x.flatten() for x in split])
+        contexts = pa.concat_arrays([pc.binary_join(split[0], pa.scalar(" ", pa.large_string())), single])
+        yield _rows("context", contexts.take(pa.array(np.argsort(np.argsort(kinds, kind="stable")))), pa.repeat(0, len(contexts)))  # in their order
+        yield _rows("running", pa.array([""]), pa.array([len(words)]))
+        token, n = words.value_counts().flatten()
+        counted = pa.array((0 < (size := pc.utf8_length(token).to_numpy())) & (size <= LONGEST))
+        yield _rows("word", token.filter(counted), n.filter(counted))
+        yield _rows("line", *pa.array(lines, pa.large_string()).value_counts().flatten())
 
 
 def _subsampled(batches, keep: dict[str, float]):
-    for batch in batches:
-        out = []
-        for text in batch["token"]:
-            words = text.split(" ")
-            kept = np.fromiter(map(keep.get, words, repeat(1.0)), float, len(words))
-            out.append(list(compress(words, (np.random.default_rng(zlib.crc32(text.encode())).random(len(words)) < kept).tolist())))
-        yield pd.DataFrame({"words": out})
+    """The words of each text that the training is to see: those of ``keep`` by a chance drawn for their text and place, and all others."""
+    shares = np.array([*keep.values(), 1.0])
+    for texts in (p for batch in batches for p in portions(batch["token"])):
+        lists = pc.split_pattern(texts, " ")
+        words, sizes = lists.flatten(), pc.list_value_length(lists).to_numpy()
+        at = pc.fill_null(pc.index_in(words, value_set=pa.array(list(keep), words.type)), len(keep)).to_numpy()
+        kept = np.concatenate([np.random.default_rng(zlib.crc32(t.as_buffer())).random(n) for t, n in zip(texts, sizes.tolist())]) < shares[at]
+        ends = np.concatenate([[0], np.cumsum(kept)])[np.concatenate([[0], np.cumsum(sizes)])]
+        yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(ends, pa.int32()), words.filter(pa.array(kept)))], ["words"])
 
 
 def least_count(counts: DataFrame, most: int | None = None) -> int:
@@ -414,21 +499,21 @@ def learn(named: DataFrame) -> Words:
     """
     from pyspark.ml.feature import Word2Vec
 
-    read = settle(named.select("text").mapInPandas(_count, "kind string, token string, n bigint"))
+    read = settle(named.select("text").mapInArrow(_count, "kind string, token string, n bigint"))
     counts = settle(read.filter("kind != 'context'").groupBy("kind", "token").agg(F.sum("n").alias("n")))
-    number = counts.filter("kind = 'line'").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    sums = {r["kind"]: r["n"] for r in counts.filter("kind != 'word'").groupBy("kind").agg(F.sum("n").alias("n")).collect()}
+    number, running = sums.get("line", 0), sums.get("running", 0)
     least, recurs = least_count(counts.filter("kind = 'word'")), max(5, int(np.ceil(number * 1e-5)))
     vocabulary = {r["token"]: r["n"] for r in counts.filter((F.col("kind") == "word") & (F.col("n") >= least)).toLocalIterator()}
     known = frozenset(r["token"] for r in counts.filter((F.col("kind") == "line") & (F.col("n") >= recurs)).toLocalIterator())
     index, vectors = {}, np.zeros((0, VECTOR), np.float32)
     context = read.filter("kind = 'context'").select("token")
-    running = read.filter("kind = 'context'").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     enough = max(5, int(np.ceil(running * 1e-5)))
     if running >= 1000:
         parts = max(1, -(-int(running) // PART))  # by the words, so that clusters of any size learn alike
         keep = {w: max(float(np.sqrt(SUBSAMPLE * running / n)), min(1.0, AT_LEAST / n)) for w, n in vocabulary.items() if n > SUBSAMPLE * running}
         # at most 1 / SUBSAMPLE words; settled, as the training reads it twice
-        context = settle(context.mapInPandas(partial(_subsampled, keep=keep), "words array<string>"))
+        context = settle(context.mapInArrow(partial(_subsampled, keep=keep), "words array<string>"))
         model = Word2Vec(vectorSize=VECTOR, minCount=enough, numPartitions=parts, stepSize=0.05, maxIter=1, seed=42, windowSize=WINDOW, inputCol="words", outputCol="v").fit(context)
         found = [(r["word"], r["vector"].toArray()) for r in model.getVectors().toLocalIterator()]
         index = {w: i for i, (w, _) in enumerate(found)}
@@ -444,12 +529,14 @@ def _analysed(named: DataFrame, words: Words) -> DataFrame:
     def work(batches):
         words = shared.value
         for batch in batches:
-            done = [analyse(t, words) for t in batch["text"]]
-            noise = [[dict(zip(("line_no", *NOISE), n)) for n in lines] for _, lines in done]
-            yield pd.DataFrame({"id": batch["id"], "text": [t for t, _ in done], "noise": noise})
+            done = [analyse(t, words) for t in batch["text"].to_pylist()]
+            ends = pa.array(np.cumsum([0, *(len(lines) for _, lines in done)]), pa.int32())
+            flat = pa.array([n[0] for _, lines in done for n in lines], pa.int64()), *(pa.array([n[k] for _, lines in done for n in lines], pa.bool_()) for k in range(1, 1 + len(NOISE)))
+            noise = pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays(flat, ["line_no", *NOISE]))
+            yield pa.RecordBatch.from_arrays([batch["id"], pa.array([t for t, _ in done], batch["text"].type), noise], ["id", "text", "noise"])
 
     line = T.StructType([T.StructField("line_no", T.LongType()), *(T.StructField(n, T.BooleanType()) for n in NOISE)])
-    return named.mapInPandas(work, T.StructType([T.StructField("id", named.schema["id"].dataType), T.StructField("text", T.StringType()), T.StructField("noise", T.ArrayType(line))]))
+    return named.mapInArrow(work, T.StructType([T.StructField("id", named.schema["id"].dataType), T.StructField("text", T.StringType()), T.StructField("noise", T.ArrayType(line))]))
 
 
 def repair(rows: DataFrame, key: str = "id", text: str = "document") -> DataFrame:

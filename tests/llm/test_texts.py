@@ -265,6 +265,83 @@ def test_scan_of_repeated_corpus(spark):
     assert found[0] == found[1] and {i for i, _ in found[0]} == {"7", "11"}
 
 
+SCANS = ["The ﬁrst – “quoted” li-\nne of\nth!s page, p. 1O\nand 12 more", "Иван съел яблоко @home !x\nи 7 слив", "a | b\nc | d!", "", " ", "é" * 41 + " été Été", "It's 1234 5\n12 of 345\n- 7 -\nof it"] * 3
+
+
+def test_words_are_counted_in_portions(spark, monkeypatch):
+    """Counts in Arrow are those of the words one by one, whatever the portions."""
+    import pyarrow as pa
+
+    found = []
+    for portion in (1, 100, 1 << 24):
+        monkeypatch.setattr(scan_noise, "PORTION", portion)
+        sums: dict = {}
+        for b in scan_noise._count([pa.RecordBatch.from_arrays([pa.array(x, pa.string())], ["text"]) for x in (SCANS[:5], [], SCANS[5:])]):
+            for r in b.to_pylist():
+                key = (r["kind"], r["token"])
+                sums[key] = sums.get(key, 0) + (1 if r["kind"] == "context" else r["n"])
+        order = [t for k, t in sums if k == "context"]
+        assert [t.split(" ")[0] for t in order] == ["the", "иван", "a", "", "é" * 41, "it"]
+        found.append(sums)
+    assert found[0] == found[1] == found[2]
+    got = found[0]
+    assert got["word", "line"] == 3 and got["word", "été"] == 6 and got["word", "@home"] == got["word", "яблоко"] == got["word", "1o"] == 3 and got["word", "th!s"] == 3
+    assert ("word", "") not in got and ("word", "é" * 41) not in got and got["line", "9 of 9"] == got["line", "- 9 -"] == 3
+    assert got["context", "é" * 41 + " été été"] == 3 and got["running", ""] == sum(n * (t.count(" ") + 1) for (k, t), n in got.items() if k == "context")
+
+
+def test_tokens_of_lines():
+    for text in SCANS:
+        lines = text.split("\n")
+        tokens = scan_noise.line_tokens(text, lines)
+        assert [tokens(i) for i in range(len(lines))] == [scan_noise.TOKEN.findall(x) for x in lines]
+
+
+def test_training_sees_words_by_chance(monkeypatch):
+    """By text and place, whatever the portions; the words one by one give the same and cost more."""
+    import time
+    import zlib
+    from collections import Counter
+    from itertools import compress, repeat
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(8)
+    texts = [" ".join(rng.choice(["often", "some", "rare", "x" * 41], 400, p=[0.7, 0.2, 0.099, 0.001])) for _ in range(2000)]
+    held = Counter(w for t in texts for w in t.split(" "))
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["token"])
+
+    def seen():
+        return [x for b in scan_noise._subsampled([batch], {"often": 0.1}) for x in b["words"].to_pylist()]
+
+    whole = seen()
+    got = Counter(w for t in whole for w in t)
+    assert all(got[w] == held[w] for w in held if w != "often") and abs(got["often"] / held["often"] - 0.1) < 0.003
+
+    def one_by_one():
+        out = []
+        for text in texts:
+            words = text.split(" ")
+            kept = np.fromiter(map({"often": 0.1}.get, words, repeat(1.0)), float, len(words))
+            out.append(list(compress(words, (np.random.default_rng(zlib.crc32(text.encode())).random(len(words)) < kept).tolist())))
+        return out
+
+    assert whole == one_by_one()
+    monkeypatch.setattr(scan_noise, "PORTION", 10_000)
+    assert seen() == whole
+    monkeypatch.undo()
+
+    def cost(work):
+        took = []
+        for _ in range(5):
+            began = time.process_time()
+            work()
+            took.append(time.process_time() - began)
+        return min(took)
+
+    assert cost(lambda: list(scan_noise._subsampled([batch], {"often": 0.1}))) < 0.8 * cost(one_by_one)
+
+
 def test_context_is_learnt_from_all_texts(spark):
     rng = np.random.default_rng(6)
     plain = "kernel operator boundary change sensor limits layered vortex".split()
